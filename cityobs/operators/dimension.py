@@ -24,6 +24,10 @@ from cityobs.operators.joins import (
 )
 
 
+#: A dimension of at most this many rows is checked on the driver, in one short job.
+DRIVER_ROWS = 2000
+
+
 @dataclass(frozen=True)
 class CityDimension:
     """A dimension whose key has been checked and whose size has been counted.
@@ -47,37 +51,34 @@ def city_dimension(
 ) -> CityDimension:
     """Check and count a dimension with columns ``City, Country, TimeUTC``.
 
-    At most ``max_rows + 1`` rows are looked at to decide whether it fits a broadcast. Pass the
-    result to several queries to check once.
+    At most ``max_rows + 1`` rows are looked at to decide whether it fits a broadcast; beyond
+    that, the check for duplicates and the list of zones are distributed jobs. Pass the result to
+    several queries to check once.
     """
     if isinstance(df, CityDimension):
         return df
     dim = df.select("City", "Country", "TimeUTC").where(F.col("City").isNotNull())
-    width = sum(
-        (F.coalesce(F.octet_length(c), F.lit(0)) + 16 for c in dim.columns), F.lit(0)
-    ).cast("long")
-    head = dim.limit(max_rows + 1).groupBy("City").agg(
-        F.count("*").alias("n"), F.max("TimeUTC").alias("zone"), F.sum(width).alias("bytes")
-    )
-    seen = head.agg(
-        F.sum("n").alias("rows"),
-        F.max("n").alias("most"),
-        F.sum("bytes").alias("bytes"),
-        F.collect_set("zone").alias("zones"),
-    ).first()
-    rows = seen["rows"] or 0
-    if rows > max_rows:
-        twice = dim.groupBy("City").count().where("count > 1").limit(1).collect()
-        zone_rows = dim.select("TimeUTC").where("TimeUTC is not null").distinct()
-        names = [r[0] for r in zone_rows.limit(MAX_INLINE_ZONES + 1).collect()]
+    width = sum((F.coalesce(F.octet_length(c), F.lit(0)) + 16 for c in dim.columns), F.lit(0))
+    sized = dim.select("City", "TimeUTC", width.cast("long").alias("bytes"))
+
+    few = sized.limit(min(max_rows, DRIVER_ROWS) + 1).collect()
+    if len(few) <= min(max_rows, DRIVER_ROWS):
+        twice = len({r["City"] for r in few}) < len(few)
+        names = {r["TimeUTC"] for r in few} - {None}
+        rows, size = len(few), sum(r["bytes"] for r in few)
     else:
-        twice = rows and seen["most"] > 1
-        names = seen["zones"]
+        seen = sized.limit(max_rows + 1).agg(F.count("*").alias("n"), F.sum("bytes").alias("size"))
+        rows, size = seen.first()
+        twice = sized.groupBy("City").count().where("count > 1").limit(1).collect()
+        zones = sized.select("TimeUTC").where("TimeUTC is not null").distinct()
+        names = {r[0] for r in zones.limit(MAX_INLINE_ZONES + 1).collect()}
     if twice:
         raise DuplicateCity("the city dimension holds a city more than once")
-    zones = tuple(sorted(names)) if len(names) <= MAX_INLINE_ZONES else None
-    fits = rows <= max_rows and (seen["bytes"] or 0) <= max_bytes
-    return CityDimension(dim, fits, zones)
+    return CityDimension(
+        dim,
+        fits=rows <= max_rows and size <= max_bytes,
+        zones=tuple(sorted(names)) if len(names) <= MAX_INLINE_ZONES else None,
+    )
 
 
 def attach_city(
@@ -100,16 +101,16 @@ def localize(
     dim = city_dimension(dim)
     columns = ("Country", "TimeUTC") if country else ("TimeUTC",)
     ts = as_time(quoted(time_col), obs.schema[time_col].dataType)
-    return (
-        attach_city(obs, dim, columns)
-        .withColumn("__utc", epoch_seconds(ts))
-        .withColumn("__local", local_seconds(F.col("__utc"), F.col("TimeUTC"), dim.zones))
-        .withColumns(
-            {
-                "local_ts": F.timestamp_add("SECOND", F.col("__local") - F.col("__utc"), ts),
-                "local_date": seconds_to_date(F.col("__local")),
-                "local_hour": seconds_to_hour(F.col("__local")),
-            }
-        )
-        .drop("__utc", "__local")
-    )
+    joined = attach_city(obs, dim, columns)
+    local = local_seconds(epoch_seconds(ts), F.col("TimeUTC"), dim.zones)
+    # The optimizer copies a projected expression into every filter and condition above it, and
+    # the zone shift is the one expensive expression here. It does not do so with the output of
+    # a generator, so the shift passes through one and is computed once per row.
+    once = joined.select("*", F.explode(F.array(local)).alias("__local"))
+    return once.withColumns(
+        {
+            "local_ts": F.timestamp_add("SECOND", F.col("__local") - epoch_seconds(ts), ts),
+            "local_date": seconds_to_date(F.col("__local")),
+            "local_hour": seconds_to_hour(F.col("__local")),
+        }
+    ).drop("__local")

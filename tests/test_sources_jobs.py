@@ -1,0 +1,168 @@
+import pytest
+from conftest import rows
+from pyspark.errors import AnalysisException
+from pyspark.sql import functions as F
+
+import main
+from cityobs.operators.clean import clean_measure
+from cityobs.operators.reshape import to_long
+from cityobs.plans.ingest import clean_table, ingest
+from cityobs.plans.weather import QUERIES, VARIANTS, run_matrix
+from cityobs.scratch import materialise, scratch_dir
+from cityobs.sources import FormatUnavailable, Layout, read_table, write_table
+from cityobs.sources.results import load_result, save_result
+from cityobs.sources.tables import YEAR_COLUMN
+from cityobs.streaming import arriving_rows, clean_arrivals
+
+CITIES = {"San Example": ("America/New_York", 40.0, -74.0), "Roma": ("Europe/Rome", 41.9, 12.5), "Acre": ("Asia/Jerusalem", 32.9, 35.1)}
+
+
+@pytest.fixture(scope="module")
+def published(spark, tmp_path_factory):
+    """Two years of readings every three hours as raw CSV, ingested as CSV and Parquet."""
+    root = tmp_path_factory.mktemp("weather")
+    start = F.lit("2016-01-01 00:00:00").cast("timestamp_ntz")
+    hour = F.col("id")
+    times = spark.range(0, 24 * 731, 1).select(
+        F.timestamp_add("HOUR", hour.cast("int"), start).cast("string").alias("datetime"), "id"
+    )
+    values = {
+        "temperature": lambda i: (F.pmod(hour * (7 + i), F.lit(61)) + 250 + F.month("datetime") * (i + 1)).cast("double"),
+        "humidity": lambda i: F.pmod(hour * (3 + i), F.lit(101)).cast("double"),
+        "pressure": lambda i: (F.pmod(hour * (5 + i), F.lit(200)) + 870).cast("double"),
+        "weather_description": lambda i: F.when(F.pmod(hour, F.lit(24)) < 17 + i, "sky is clear").otherwise("mist"),
+    }
+    for name, value in values.items():
+        wide = times.select("datetime", *[value(i).cast("string").alias(c) for i, c in enumerate(CITIES)])
+        bad = spark.createDataFrame([("nonsense", "250", "250", "250")], wide.schema)
+        wide.unionByName(bad).write.option("header", True).csv(str(root / "raw" / f"{name}.csv"))
+    cities = spark.createDataFrame([(c, str(v[1]), str(v[2])) for c, v in CITIES.items()] + [("Lost", "99", "0")], "City string, Latitude string, Longitude string")
+    cities.write.option("header", True).csv(str(root / "raw" / "city_attributes.csv"))
+    places = spark.createDataFrame([(v[1] + 0.1, v[2], f"land of {c}", v[0]) for c, v in CITIES.items()], "Latitude double, Longitude double, Country string, TimeUTC string")
+    layout = Layout(str(root / "out"))
+    paths = ingest(spark, str(root / "raw"), layout, places=places)
+    return layout, paths
+
+
+def test_ingest_publishes_the_same_rows_in_every_format(spark, published):
+    layout, paths = published
+    assert set(paths) == {"temperature", "pressure", "humidity", "weather_description", "city_attributes"}
+    for name, by_format in paths.items():
+        csv, parquet = (read_table(spark, by_format[f], f) for f in ("csv", "parquet"))
+        assert csv.columns == parquet.columns
+        if name == "city_attributes":
+            assert {r["City"]: r["TimeUTC"] for r in csv.collect()} == {c: v[0] for c, v in CITIES.items()}
+        else:
+            assert csv.columns == ["datetime", "San_Example", "Roma", "Acre"]
+            text = name == "weather_description"
+            assert rows(to_long(csv, "v", text=text)) == rows(to_long(parquet, "v", text=text))
+
+
+@pytest.mark.parametrize("name", list(QUERIES))
+def test_formats_and_variants_agree(spark, published, name):
+    layout, _ = published
+    results = [QUERIES[name](spark, layout, f, v) for f in ("csv", "parquet") for v in VARIANTS]
+
+    def near(df):
+        return rows(df.select(*[F.round(c, 6).alias(c) if t == "double" else c for c, t in df.dtypes]))
+
+    first = near(results[0])
+    assert first and all(near(r) == first for r in results[1:])
+
+
+def test_matrix_writes_results_log_and_summary(spark, published, capsys):
+    layout, _ = published
+    summary = run_matrix(spark, layout, runs=3, formats=["parquet"], queries=["query1", "query3"])
+    got = summary.collect()
+    assert [(r["query"], r["variant"], r["runs"]) for r in got] == [
+        (q, v, 1) for q in ("query1", "query3") for v in VARIANTS
+    ]
+    written = read_table(spark, layout.result("query1", "joined", "parquet", 2), "csv")
+    assert written.columns == ["Year", "City"] and written.count() > 0
+    with pytest.raises(AnalysisException):
+        run_matrix(spark, layout, runs=1, formats=["parquet"], variants=["direct"], queries=["query1"])
+    main.main([layout.root, "1", "--formats", "csv", "--variants", "direct", "--queries", "query1"])
+    assert "query1" in capsys.readouterr().out
+
+
+def test_layout():
+    layout = Layout("hdfs://host:1/base/")
+    assert layout.data("temperature", "csv") == "hdfs://host:1/base/data/csv/temperature.csv"
+    assert layout.result("query1", "direct", "csv", 2) == "hdfs://host:1/base/results/query1_direct_csv_2.csv"
+    assert layout.stats(5) == "hdfs://host:1/base/stats/5.csv"
+
+
+def test_unknown_and_unavailable_formats(spark, tmp_path):
+    with pytest.raises(ValueError):
+        read_table(spark, "x", "orc")
+    with pytest.raises(ValueError):
+        write_table(spark.range(1), "x", "orc")
+    with pytest.raises(ValueError):
+        clean_table(spark.range(1), "wind")
+    try:
+        write_table(spark.range(3), str(tmp_path / "a"), "avro")
+    except FormatUnavailable:
+        with pytest.raises(FormatUnavailable):
+            read_table(spark, str(tmp_path / "a"), "avro")
+        pytest.skip("the spark-avro module is not on the class path")
+    assert read_table(spark, str(tmp_path / "a"), "avro").count() == 3
+
+
+def test_existing_path_is_an_error_and_single_file_is_one(spark, tmp_path):
+    path = str(tmp_path / "t")
+    write_table(spark.range(100).repartition(4), path, "csv", single_file=True)
+    assert len(list((tmp_path / "t").glob("part-*"))) == 1
+    with pytest.raises(AnalysisException):
+        write_table(spark.range(1), path, "csv")
+
+
+def test_year_partitions_prune(spark, tmp_path):
+    start = F.lit("2015-01-01 00:00:00").cast("timestamp_ntz")
+    wide = spark.range(0, 24 * 1200, 6).select(
+        F.timestamp_add("HOUR", F.col("id").cast("int"), start).alias("datetime"), F.lit(1.0).alias("A")
+    )
+    path = tmp_path / "t"
+    write_table(wide, str(path), "parquet", by_year=True, files_per_year=3)
+    for year in path.glob(f"{YEAR_COLUMN}=*"):
+        assert 1 <= len(list(year.glob("part-*"))) <= 3
+    back = to_long(read_table(spark, str(path), "parquet"), "t")
+    assert back.count() == wide.count()
+    pruned = back.where(F.col(YEAR_COLUMN) == 2016)
+    assert "PartitionFilters: [isnotnull(utc_year" in pruned._jdf.queryExecution().executedPlan().toString()
+    assert {r[0] for r in pruned.select(F.year("ts")).distinct().collect()} == {2016}
+
+
+def test_result_tables_replace_one_variant(spark, tmp_path):
+    layout = Layout(str(tmp_path))
+    for variant, n in (("direct", 3), ("joined", 4), ("direct", 5)):
+        save_result(spark.range(n), layout, "query9", variant)
+    assert load_result(spark, layout, "query9", "direct").count() == 5
+    assert load_result(spark, layout, "query9").count() == 9
+
+
+def test_stream_takes_up_new_files_only(spark, tmp_path):
+    def arrive(name, *lines):
+        (tmp_path / "in").mkdir(exist_ok=True)
+        (tmp_path / "in" / name).write_text("datetime,A,B\n" + "\n".join(lines) + "\n")
+
+    def run():
+        clean_arrivals(
+            arriving_rows(spark, str(tmp_path / "in"), files_per_batch=1),
+            lambda raw: to_long(clean_measure(raw, "temperature"), "temperature"),
+            str(tmp_path / "out"),
+            str(tmp_path / "progress"),
+        ).awaitTermination()
+        return spark.read.parquet(str(tmp_path / "out")).count()
+
+    arrive("1.csv", "2016-01-01 00:00:00,250,", "2016-01-01 01:00:00,abc,250")
+    arrive("2.csv", "2016-01-01 02:00:00,250000,251")
+    assert run() == 3
+    arrive("3.csv", "nonsense,250,250", "2016-01-01 03:00:00,252,1")
+    assert run() == 4
+
+
+def test_scratch_follows_the_configured_folder(spark):
+    folder = scratch_dir(spark)
+    assert scratch_dir(spark) == folder
+    df = materialise(spark.range(5), "five")
+    assert df.count() == 5 and folder.removeprefix("file:") in df.inputFiles()[0]
