@@ -9,15 +9,13 @@ from cityobs.sources.layout import Layout
 
 
 def save_result(df: DataFrame, layout: Layout, query: str, variant: str) -> str:
-    """Store a result under its query and variant, replacing that variant only."""
+    """Store a result under its query and variant, replacing that variant only.
+
+    The partition is written by its path, so that a result without rows leaves its schema and
+    no rows of an earlier one.
+    """
     path = layout.result_table(query)
-    (
-        df.withColumn("variant", F.lit(variant))
-        .write.partitionBy("variant")
-        .option("partitionOverwriteMode", "dynamic")
-        .mode("overwrite")
-        .parquet(path)
-    )
+    df.write.mode("overwrite").parquet(f"{path}/variant={variant}")
     return path
 
 

@@ -6,6 +6,7 @@ from conftest import rows
 from cityobs.functions.localtime import parse_time
 from cityobs.functions.names import to_underscores
 from cityobs.operators.clean import clean_city, clean_description, clean_measure
+from cityobs.operators.reshape import to_long
 from pyspark.sql import functions as F
 
 NOON = "2016-05-01 12:00:00"
@@ -91,3 +92,13 @@ def test_header_loses_spaces_and_rows_keep_them(spark):
     df = spark.createDataFrame([("San Example",)], "`City Name` string")
     assert to_underscores(df).columns == ["City_Name"]
     assert to_underscores(df).first()[0] == "San Example"
+
+
+def test_cleaning_many_cities_and_reshaping_them_is_planned_quickly(spark):
+    names = [f"City {i}" for i in range(120)]
+    raw = spark.createDataFrame(
+        [(NOON, *["250000"] * 120), (NOON, *["250"] * 119, "x")],
+        ", ".join(["datetime string", *[f"`{n}` string" for n in names]]),
+    )
+    long = to_long(clean_measure(raw, "temperature"), "temperature")
+    assert long.where("temperature = 250").count() == 120
