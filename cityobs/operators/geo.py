@@ -122,7 +122,10 @@ def nearest_place(
     if depth > 0:
         points = materialise(points, "places")
 
-    frontier = targets.withColumn("cube", F.lit(0).cast("long"))
+    # At first every target looks at the occupied ones of at most 8 ** STEP cubes. The targets are
+    # already distributed by their coordinates, so no round shuffles them while the cubes of its
+    # level fit a broadcast.
+    frontier = targets.withColumns({"cube": _cube(0), "bound": F.lit(4.0)})
     for level in range(STEP, depth + 1, STEP):
         frontier = _descend(frontier, points, level, cubes.get(level, 0))
 
@@ -167,7 +170,9 @@ def _descend(frontier: DataFrame, points: DataFrame, level: int, cubes: int) ->
     per_target = Window.partitionBy("__lat", "__lon")
     return (
         checked_join(frontier, parts, ["cube"], cubes)
-        .withColumns({"gap": _gap(level), "bound": F.min(_square("", "s_")).over(per_target)})
+        .withColumns({"gap": _gap(level), "square": _square("", "s_")})
         .where(F.col("gap") <= F.col("bound"))
-        .select("__lat", "__lon", *_AXES, F.col("part").alias("cube"))
+        .withColumn("bound", F.least("bound", F.min("square").over(per_target)))
+        .where(F.col("gap") <= F.col("bound"))
+        .select("__lat", "__lon", *_AXES, F.col("part").alias("cube"), "bound")
     )

@@ -11,6 +11,7 @@ from cityobs.functions.localtime import in_local_years
 from cityobs.operators.dimension import CityDimension, city_dimension, localize
 from cityobs.operators.ranking import rank_of_picks, rank_within, top_within
 from cityobs.scratch import materialise
+from cityobs.sources.tables import YEAR_COLUMN
 
 # The two seasons, first and last month, and the local hours looked at.
 SLOTS = {"jan-apr": (1, 4), "jun-sep": (6, 9)}
@@ -25,6 +26,21 @@ def month_slot(month: Column, slots: Mapping[str, tuple[int, int]]) -> Column:
     return label
 
 
+def near_years(obs: DataFrame, years: tuple[int, ...]) -> DataFrame:
+    """Observations that can lie in one of the local ``years``.
+
+    The bounds on the stored time reach the scan; on a table partitioned by year, the other years
+    are not even listed.
+    """
+    near = F.lit(False)
+    for year in sorted(set(years)):
+        near = near | in_local_years(F.col("ts"), year, year)
+    if YEAR_COLUMN in obs.columns:
+        neighbours = sorted({y + d for y in years for d in (-1, 0, 1)})
+        obs = obs.where(F.col(YEAR_COLUMN).isin(neighbours))
+    return obs.where(near)
+
+
 def season_readings(
     obs: DataFrame,
     dim: DataFrame | CityDimension,
@@ -34,12 +50,10 @@ def season_readings(
     slots: Mapping[str, tuple[int, int]] = SLOTS,
 ) -> DataFrame:
     """Readings of ``years`` at the wanted local hours, labelled with their season."""
-    near = F.lit(False)
-    for year in sorted(set(years)):
-        near = near | in_local_years(F.col("ts"), year, year)
-    readings = obs.select("ts", "City", F.col(measure).cast("double").alias("value"))
+    near = near_years(obs, years)
+    readings = near.select("ts", "City", F.col(measure).cast("double").alias("value"))
     return (
-        localize(readings.where(near), dim)
+        localize(readings, dim)
         .where(F.col("Country").isNotNull() & F.col("local_hour").between(*hours))
         .withColumn("year", F.year("local_date"))
         .where(F.col("year").isin(*years))

@@ -7,7 +7,7 @@ from collections.abc import Iterable
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StringType, StructField, StructType, TimestampNTZType
+from pyspark.sql.types import StringType, StructField, StructType
 
 from cityobs.functions.names import quoted, to_underscores
 from cityobs.sources.layout import Layout
@@ -97,12 +97,19 @@ def write_table(
 
 
 def publish(
-    df: DataFrame, layout: Layout, name: str, formats: Iterable[str] = FORMATS
+    df: DataFrame,
+    layout: Layout,
+    name: str,
+    formats: Iterable[str] = FORMATS,
+    *,
+    by_year: bool = False,
+    files_per_year: int | None = None,
 ) -> dict[str, str]:
     """Write one cleaned table in several formats and return the path of each.
 
     Parquet goes first; the other formats are written from it, so the cleaning runs once.
-    Header names lose their spaces in every tree, as Avro field names require.
+    Header names lose their spaces in every tree, as Avro field names require. ``by_year``
+    partitions the Parquet tree.
     """
     wanted = [_known(fmt) for fmt in formats]
     spark = df.sparkSession
@@ -110,12 +117,10 @@ def publish(
     paths: dict[str, str] = {}
     for fmt in sorted(wanted, key=lambda f: f != "parquet"):
         path = layout.data(name, fmt)
-        write_table(df, path, fmt)
         if fmt == "parquet":
-            df = read_table(spark, path, fmt)
+            write_table(df, path, fmt, by_year=by_year, files_per_year=files_per_year)
+            df = read_table(spark, path, fmt).select(*[quoted(c) for c in df.columns])
+        else:
+            write_table(df, path, fmt)
         paths[fmt] = path
     return paths
-
-
-def time_typed(df: DataFrame) -> bool:
-    return isinstance(df.schema[0].dataType, TimestampNTZType)

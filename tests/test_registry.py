@@ -7,7 +7,7 @@ import duckdb
 import pytest
 
 import __spark_entry__ as entry
-from conftest import SMALL
+from conftest import SMALL, plan
 
 TYPES = {
     "int": "INTEGER",
@@ -45,6 +45,9 @@ def test_query_equals_sql(spark, duck, name):
     sql_types = {d[0]: str(d[1]) for d in cursor.description}
     for field in df.schema:
         assert TYPES[field.dataType.simpleString()] == sql_types[field.name], field.name
+    text = plan(df)
+    for operator in ("Python", "MapPartitions", "Cartesian", "NestedLoop", "ObjectHash"):
+        assert operator not in text
     got, wanted = canonical(df.collect(), df.columns), canonical(cursor.fetchall(), columns)
     assert got == wanted
     assert not any(isinstance(v, float) and math.isnan(v) for r in got for v in r)

@@ -7,9 +7,10 @@ import main
 from cityobs.operators.clean import clean_measure
 from cityobs.operators.reshape import to_long
 from cityobs.plans.ingest import clean_table, ingest
+from cityobs.plans import seasonal_swing
 from cityobs.plans.weather import QUERIES, VARIANTS, run_matrix
 from cityobs.scratch import materialise, scratch_dir
-from cityobs.sources import FormatUnavailable, Layout, read_table, write_table
+from cityobs.sources import FormatUnavailable, Layout, publish, read_table, write_table
 from cityobs.sources.results import load_result, save_result
 from cityobs.sources.tables import YEAR_COLUMN
 from cityobs.streaming import arriving_rows, clean_arrivals
@@ -132,12 +133,34 @@ def test_year_partitions_prune(spark, tmp_path):
     assert {r[0] for r in pruned.select(F.year("ts")).distinct().collect()} == {2016}
 
 
+def test_swing_reads_only_neighbouring_years(spark, tmp_path):
+    start = F.lit("2010-01-01 00:00:00").cast("timestamp_ntz")
+    wide = spark.range(0, 24 * 365 * 9, 12).select(
+        F.timestamp_add("HOUR", F.col("id").cast("int"), start).alias("datetime"),
+        F.pmod("id", F.lit(31)).cast("double").alias("San Example"),
+        F.pmod("id", F.lit(37)).cast("double").alias("Roma"),
+    )
+    layout = Layout(str(tmp_path))
+    path = publish(wide, layout, "temperature", ["parquet", "csv"], by_year=True)["parquet"]
+    csv = read_table(spark, layout.data("temperature", "csv"), "csv")
+    assert csv.columns == ["datetime", "San_Example", "Roma"]
+    dim = spark.createDataFrame([("San Example", "x", "UTC"), ("Roma", "x", "Europe/Rome")], "City string, Country string, TimeUTC string")
+    by_year = seasonal_swing(to_long(read_table(spark, path, "parquet"), "temperature"), dim)
+    assert rows(by_year) == rows(seasonal_swing(to_long(csv, "temperature"), dim)) != []
+    text = by_year._jdf.queryExecution().executedPlan().toString()
+    assert "utc_year#" in text and "IN (2015,2016,2017,2018)" in text.split("PartitionFilters")[1]
+
+
 def test_result_tables_replace_one_variant(spark, tmp_path):
     layout = Layout(str(tmp_path))
     for variant, n in (("direct", 3), ("joined", 4), ("direct", 5)):
         save_result(spark.range(n), layout, "query9", variant)
     assert load_result(spark, layout, "query9", "direct").count() == 5
     assert load_result(spark, layout, "query9").count() == 9
+    save_result(spark.range(0), layout, "query9", "joined")
+    assert load_result(spark, layout, "query9").count() == 5
+    save_result(spark.range(0), layout, "query8", "direct")
+    assert load_result(spark, layout, "query8", "direct").count() == 0
 
 
 def test_stream_takes_up_new_files_only(spark, tmp_path):
