@@ -14,6 +14,8 @@ from pyspark.sql.types import DoubleType, StringType, StructField, StructType
 from cityobs.functions.localtime import epoch_seconds
 from cityobs.operators.joins import split_hot_join
 
+DAY_MILLIS = 86_400_000
+
 ELAPSED_SCHEMA = StructType(
     [
         StructField("filename", StringType(), True),
@@ -65,6 +67,18 @@ def latency_by_file(records: DataFrame) -> DataFrame:
     )
 
 
+def _moments(time: str, side: str) -> list[Column]:
+    """Count, mean and variance of times. The mean is kept as days and the rest of a day, as the
+    sum of very many whole times would lose milliseconds."""
+    day = F.floor(F.col(time) / DAY_MILLIS)
+    return [
+        F.count("*").alias(f"n_{side}"),
+        F.avg(day).alias(f"day_{side}"),
+        F.avg(F.col(time) - day * DAY_MILLIS).alias(f"rest_{side}"),
+        F.var_pop(time).alias(f"var_{side}"),
+    ]
+
+
 def ingest_latency(events: DataFrame, hot_rows: int = 1_000_000) -> DataFrame:
     """``latency_by_file(pair_events(events))`` without making the pairs.
 
@@ -72,21 +86,15 @@ def ingest_latency(events: DataFrame, hot_rows: int = 1_000_000) -> DataFrame:
     is the difference of the means and its variance the sum of the variances. Both sides are
     aggregated by uuid first; what is joined and pooled by file name is one row per uuid and name.
     """
-    arrivals = _arrivals(events).groupBy("flow_uuid").agg(
-        F.count("*").alias("n_in"),
-        F.avg("start").alias("mean_in"),
-        F.var_pop("start").alias("var_in"),
-    )
-    deliveries = _deliveries(events).groupBy("attr_uuid", "filename").agg(
-        F.count("*").alias("n_out"),
-        F.avg("end").alias("mean_out"),
-        F.var_pop("end").alias("var_out"),
-    )
+    arrivals = _arrivals(events).groupBy("flow_uuid").agg(*_moments("start", "in"))
+    deliveries = _deliveries(events).groupBy("attr_uuid", "filename").agg(*_moments("end", "out"))
     joined = split_hot_join(deliveries, arrivals, "attr_uuid", "flow_uuid", hot_rows)
+    days = F.col("day_out") - F.col("day_in")
+    rest = F.col("rest_out") - F.col("rest_in")
     per_uuid = joined.select(
         "filename",
         (F.col("n_in") * F.col("n_out")).alias("n"),
-        ((F.col("mean_out") - F.col("mean_in")) / 1000).alias("mean"),
+        ((days * DAY_MILLIS + rest) / 1000).alias("mean"),
         ((F.col("var_out") + F.col("var_in")) / 1e6).alias("var"),
     )
     n = F.sum("n")

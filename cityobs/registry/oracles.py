@@ -272,9 +272,9 @@ SELECT City, Latitude, Longitude, Country, TimeUTC FROM cities JOIN nearest USIN
 SELECT filename, round(avg(elapsed), 4) AS avg, round(stddev_pop(elapsed), 4) AS stddev,
   count(*) AS count FROM ({_ELAPSED}) GROUP BY ALL""",
     "ingest_latency_by_user": """
-SELECT CAST(v.user_id AS VARCHAR) AS filename, round(avg(elapsed), 3) AS avg,
-  round(stddev_pop(elapsed), 3) AS stddev, count(*) AS count
-FROM (SELECT a.user_id, CAST(epoch_us(p.ts) // 1000 - epoch_us(a.ts) // 1000 AS DOUBLE) / 1000 AS elapsed
+SELECT CAST(v.user_id AS VARCHAR) AS filename, CAST(sum(elapsed) AS BIGINT) AS total_ms,
+  round(stddev_pop(elapsed / 1000), 3) AS stddev, count(*) AS count
+FROM (SELECT a.user_id, epoch_us(p.ts) // 1000 - epoch_us(a.ts) // 1000 AS elapsed
       FROM events a JOIN events p ON a.user_id = p.user_id
       WHERE a.event_type = 'view' AND p.event_type = 'purchase') v GROUP BY ALL""",
     "run_stats": """
