@@ -1,12 +1,13 @@
-"""Rules for single cells of raw tables, as column expressions."""
+"""Rules for single cells of raw tables.
+
+They take and give SQL expressions. A table has a column per city, and a thousand expressions in
+one ``selectExpr`` are handed to Spark in one call, where each column object takes several.
+"""
 
 from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import Column
-from pyspark.sql import functions as F
-
 # Physical ranges (both ends valid) and the bound above which a
 # temperature has lost its decimal point.
 TEMPERATURE_RANGE = (184.0, 343.0)  # kelvin
@@ -26,15 +27,17 @@ class RangeRule:
     high: float
     lost_point_above: float | None = None
 
-    def restore(self, value: Column) -> Column:
+    def restore(self, value: str) -> str:
         """Put a lost decimal point back."""
         if self.lost_point_above is None:
             return value
-        return F.when(value > self.lost_point_above, value / LOST_POINT_DIVISOR).otherwise(value)
+        bound, divisor = float(self.lost_point_above), float(LOST_POINT_DIVISOR)
+        return f"CASE WHEN {value} > {bound!r}D THEN {value} / {divisor!r}D ELSE {value} END"
 
-    def keep_valid(self, value: Column) -> Column:
+    def keep_valid(self, value: str) -> str:
         """Blank what is out of range; NaN is."""
-        return F.when(value.between(self.low, self.high), value)
+        low, high = float(self.low), float(self.high)
+        return f"CASE WHEN {value} BETWEEN {low!r}D AND {high!r}D THEN {value} END"
 
 
 RULES = {
@@ -44,25 +47,21 @@ RULES = {
 }
 
 
-def is_empty(cell: Column) -> Column:
-    return cell.isNull() | (cell == "")
-
-
-def number(cell: Column) -> Column:
+def number(cell: str) -> str:
     """Numeric reading of a cell; empty and non-numeric cells are null."""
-    return cell.try_cast("double")
+    return f"try_cast({cell} AS double)"
 
 
-def unreadable(cell: Column) -> Column:
+def unreadable(cell: str) -> str:
     """True for a cell that holds something, but not a number. Never null.
 
     The same texts are floats and doubles. The test asks for a float because the optimizer, where
     a filter repeats a projected expression, derives the condition with and without the
     projection for every combination of columns, and thirty cities would be too many.
     """
-    return ~is_empty(cell) & cell.try_cast("float").isNull()
+    return f"({cell} IS NOT NULL AND {cell} <> '' AND try_cast({cell} AS float) IS NULL)"
 
 
-def any_of(flags: list[Column]) -> Column:
+def any_of(flags: list[str]) -> str:
     """Whether any flag holds. Flat, so that thousands of columns do not nest."""
-    return flags[0] if len(flags) == 1 else F.greatest(*flags)
+    return flags[0] if len(flags) == 1 else f"greatest({', '.join(flags)})"

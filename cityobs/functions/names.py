@@ -6,9 +6,17 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
+def identifier(name: str) -> str:
+    """SQL name that survives dots, spaces and backticks in a city name."""
+    return "`" + name.replace("`", "``") + "`"
+
+
 def quoted(name: str) -> Column:
-    """Column reference that survives dots, spaces and backticks in a city name."""
-    return F.col("`" + name.replace("`", "``") + "`")
+    return F.col(identifier(name))
+
+
+def text_literal(text: str) -> str:
+    return "'" + text.replace("\\", "\\\\").replace("'", "\\'") + "'"
 
 
 def city_name(column: str) -> str:

@@ -4,7 +4,8 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from cityobs.functions.cells import (
     LATITUDE_RANGE,
@@ -16,22 +17,21 @@ from cityobs.functions.cells import (
     unreadable,
 )
 from cityobs.functions.localtime import as_time
-from cityobs.functions.names import quoted
+from cityobs.functions.names import identifier, quoted
 from cityobs.operators.reshape import city_columns, time_column
 
 
 def _timed_rows(wide: DataFrame, time_col: str) -> DataFrame:
     """Rows with a readable time, the time typed and the columns in their order."""
     ts = as_time(quoted(time_col), wide.schema[time_col].dataType)
-    others = [quoted(c) for c in wide.columns if c != time_col]
+    others = [identifier(c) for c in wide.columns if c != time_col]
     return wide.select(ts.alias(time_col), *others).where(quoted(time_col).isNotNull())
 
 
-def _each(rows: DataFrame, columns: list[str], step: Callable[[Column], Column]) -> DataFrame:
+def _each(rows: DataFrame, columns: list[str], step: Callable[[str], str]) -> DataFrame:
     chosen = set(columns)
-    return rows.select(
-        *[step(quoted(c)).alias(c) if c in chosen else quoted(c) for c in rows.columns]
-    )
+    names = [(identifier(c), c in chosen) for c in rows.columns]
+    return rows.selectExpr(*[f"{step(n)} AS {n}" if touched else n for n, touched in names])
 
 
 def clean_measure(
@@ -53,7 +53,7 @@ def clean_measure(
     columns = [c for c in city_columns(wide) if c != time_col]
     rows = _timed_rows(wide, time_col)
     if on_bad_cell == "drop_row" and columns:
-        rows = rows.where(~any_of([unreadable(quoted(c)) for c in columns]))
+        rows = rows.where("NOT " + any_of([unreadable(identifier(c)) for c in columns]))
     # One projection per step, so that no step is computed again for each use of its result.
     for step in (number, rule.restore, rule.keep_valid):
         rows = _each(rows, columns, step)
@@ -72,7 +72,7 @@ def clean_city(
     lat_col = lat_col or cities.columns[1]
     lon_col = lon_col or cities.columns[2]
     typed = cities.withColumns(
-        {lat_col: number(quoted(lat_col)), lon_col: number(quoted(lon_col))}
+        {c: F.expr(number(identifier(c))) for c in (lat_col, lon_col)}
     )
     return typed.where(
         quoted(lat_col).between(*LATITUDE_RANGE) & quoted(lon_col).between(*LONGITUDE_RANGE)

@@ -6,10 +6,9 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import DataType
 
 from cityobs.functions.localtime import as_time
-from cityobs.functions.names import city_name, quoted
+from cityobs.functions.names import city_name, identifier, quoted, text_literal
 from cityobs.sources.tables import YEAR_COLUMN
 
 
@@ -44,17 +43,17 @@ def to_long(
         chosen = set(cities)
         columns = [c for c in columns if city_name(c) in chosen]
     kept = [YEAR_COLUMN] if YEAR_COLUMN in wide.columns else []
-    wanted: DataType | str = "string" if text else "double"
+    wanted = "string" if text else "double"
     ts = as_time(quoted(time_col), wide.schema[time_col].dataType).alias("ts")
     if not columns:
         empty = wide.limit(0)
         return empty.select(
             ts, F.lit(None).cast("string").alias("City"), F.lit(None).cast(wanted).alias(measure), *kept
         )
-    cells = F.array(*[quoted(c).try_cast(wanted) for c in columns])
-    names = F.array(*[F.lit(city_name(c)) for c in columns])
+    cells = ", ".join(f"try_cast({identifier(c)} AS {wanted})" for c in columns)
+    names = F.expr(f"array({', '.join(text_literal(city_name(c)) for c in columns)})")
     return (
-        wide.select(ts, *kept, F.posexplode(cells).alias("__pos", "__cell"))
+        wide.select(ts, *kept, F.expr(f"posexplode(array({cells}))").alias("__pos", "__cell"))
         .where(F.col("ts").isNotNull() & F.col("__cell").isNotNull())
         .select(
             "ts",

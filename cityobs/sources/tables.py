@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
-from cityobs.functions.names import quoted, to_underscores
+from cityobs.functions.names import identifier, quoted, to_underscores
 from cityobs.sources.layout import Layout
 
 FORMATS = ("csv", "parquet", "avro")
@@ -119,7 +119,7 @@ def publish(
         path = layout.data(name, fmt)
         if fmt == "parquet":
             write_table(df, path, fmt, by_year=by_year, files_per_year=files_per_year)
-            df = read_table(spark, path, fmt).select(*[quoted(c) for c in df.columns])
+            df = read_table(spark, path, fmt).select(*[identifier(c) for c in df.columns])
         else:
             write_table(df, path, fmt)
         paths[fmt] = path

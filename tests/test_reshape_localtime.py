@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from cityobs.operators import dimension as dimension_module
 from cityobs.operators.dimension import DuplicateCity, attach_city, city_dimension, localize
+from cityobs.operators.clean import clean_measure
 from cityobs.operators.reshape import to_long, to_wide
 from cityobs.functions.localtime import in_local_years, near_local_months
 
@@ -168,3 +169,11 @@ def test_wide_and_back_is_the_identity_on_means(spark):
     ).withColumn("ts", F.col("ts").cast("timestamp_ntz"))
     back = to_long(to_wide(given, "t", ["A", "B"]), "t")
     assert rows(back) == rows(given.groupBy("ts", "City").agg(F.avg("t").alias("t")))
+
+
+def test_city_names_with_quotes_and_backslashes(spark):
+    names = ["Cote d'Or", "a\\b", 'say "hi"', "tick`s", "semi;colon"]
+    wide = spark.createDataFrame([("2016-01-01 00:00:00", *["250"] * 5)], ["datetime", *names])
+    cleaned = clean_measure(wide, "temperature")
+    assert cleaned.columns == ["datetime", *names]
+    assert {r["City"] for r in to_long(cleaned, "t").collect()} == set(names)
