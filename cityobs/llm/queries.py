@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cityobs.llm import bpe
+from cityobs.llm import bpe, quality, toxicity, training
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -33,7 +33,32 @@ def byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def _scores(spark: SparkSession, sf_dir: str, module, label: str, folds: int, left_out: int) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    remainder = training.fold(F.col("doc_id"), folds)
+    samples = training.sample(docs, _table(spark, sf_dir, "labels"), label, remainder != left_out)
+    scored = module.score(docs.select("doc_id", "text"), module.fit(samples), drop_text=True)
+    return scored.select(
+        "doc_id",
+        (remainder == left_out).alias("held_out"),
+        "score",
+        F.when(F.col("score") >= 0.5, 1).otherwise(0).alias("predicted"),
+    )
+
+
+def nb_svm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality of every document; labels of remainder 1 are never read."""
+    return _scores(spark, sf_dir, quality, "quality", 3, 1)
+
+
+def toxic_segments(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity of every document; labels of remainder 0 are never read."""
+    return _scores(spark, sf_dir, toxicity, "toxic", 5, 0)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op4_nb_svm": nb_svm,
+    "op5_toxic_segments": toxic_segments,
     "op8_byte_bpe": byte_bpe,
 }
 
