@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cityobs.llm import bpe, quality, toxicity, training
+from cityobs.llm import bpe, lines, quality, sharding, toxicity, training
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -33,6 +33,33 @@ def byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def feistel_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents in 16 shards whose counts are at most one apart."""
+    placed = sharding.shard(_table(spark, sf_dir, "documents"), 16)
+    return placed.select(
+        "doc_id",
+        "size",
+        "text_crc32",
+        F.lit("rows").alias("law"),
+        "shard",
+        "slot",
+        F.lit(None).cast("int").alias("grown_shard"),
+        "row_number",
+    )
+
+
+def site_spread_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lines kept and removed in every document, and the digest of what is left."""
+    cleaned = lines.remove_boilerplate(_table(spark, sf_dir, "documents").select("doc_id", "text", "source"))
+    return cleaned.select(
+        "doc_id",
+        "n_lines",
+        "n_removed",
+        F.length("text").cast("long").alias("clean_chars"),
+        F.sha2(F.col("text").cast("binary"), 256).alias("clean_sha256"),
+    )
+
+
 def _scores(spark: SparkSession, sf_dir: str, module, label: str, folds: int, left_out: int) -> DataFrame:
     docs = _table(spark, sf_dir, "documents")
     remainder = training.fold(F.col("doc_id"), folds)
@@ -57,8 +84,10 @@ def toxic_segments(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_feistel_shards": feistel_shards,
     "op4_nb_svm": nb_svm,
     "op5_toxic_segments": toxic_segments,
+    "op6_site_spread_lines": site_spread_lines,
     "op8_byte_bpe": byte_bpe,
 }
 
