@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cityobs.llm import bpe, lines, quality, sharding, toxicity, training
+from cityobs.llm import bpe, decontaminate, lines, pii, quality, sharding, toxicity, training
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -60,6 +60,32 @@ def site_spread_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def window_hits(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words of every document that lie in windows of benchmark items."""
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    marked = decontaminate.contamination(docs, _table(spark, sf_dir, "benchmark"))
+    return marked.select(
+        "doc_id",
+        "n_words",
+        "n_hit",
+        F.size("items").cast("long").alias("n_items"),
+        F.sha2(F.array_join("items", ",").cast("binary"), 256).alias("items_sha256"),
+        (F.col("n_hit") > 0).alias("contaminated"),
+    )
+
+
+def bootstrapped_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Personal data of every document: counts and digest of base spans, and all spans."""
+    found = pii.find(_table(spark, sf_dir, "documents").select("doc_id", "text"))
+    base = F.filter("spans", lambda s: s["base"])
+    told = lambda spans: F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"])), ",")
+    counts = [
+        F.size(F.filter(base, lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")  # noqa: B023
+        for kind in pii.KINDS
+    ]
+    return found.select("doc_id", *counts, F.sha2(told(base).cast("binary"), 256).alias("base_sha256"), told(F.col("spans")).alias("spans"))
+
+
 def _scores(spark: SparkSession, sf_dir: str, module, label: str, folds: int, left_out: int) -> DataFrame:
     docs = _table(spark, sf_dir, "documents")
     remainder = training.fold(F.col("doc_id"), folds)
@@ -89,6 +115,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op5_toxic_segments": toxic_segments,
     "op6_site_spread_lines": site_spread_lines,
     "op8_byte_bpe": byte_bpe,
+    "op9_window_hits": window_hits,
+    "op10_bootstrapped_pii": bootstrapped_pii,
 }
 
 ORACLES: dict[str, str] = {}
