@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cityobs.llm import bpe, decontaminate, lattice, lines, pii, quality, sharding, toxicity, training
+from cityobs.llm import bpe, cpsjoin, decontaminate, imatch, lattice, lines, pii, quality, sharding, toxicity, training
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -86,6 +86,12 @@ def bootstrapped_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", *counts, F.sha2(told(base).cast("binary"), 256).alias("base_sha256"), told(F.col("spans")).alias("spans"))
 
 
+def imatch_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fingerprints of every document and of its edited text."""
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    return imatch.compare_edits(docs, imatch.lexicon(docs))
+
+
 def lattice_likelihood(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Log-likelihood of every document; those of remainder 0 are not learned from."""
     remainder = training.fold(F.col("doc_id"), 10)
@@ -94,6 +100,11 @@ def lattice_likelihood(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select("doc_id", (remainder == 0).alias("held_out"), *scored.columns[1:])
 
 
+def chosen_path_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Near-duplicate component of every document."""
+    return cpsjoin.near_duplicates(_table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
 def _scores(spark: SparkSession, sf_dir: str, module, label: str, folds: int, left_out: int) -> DataFrame:
     docs = _table(spark, sf_dir, "documents")
     remainder = training.fold(F.col("doc_id"), folds)
@@ -119,10 +130,12 @@ def toxic_segments(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_feistel_shards": feistel_shards,
+    "op2_imatch_fingerprints": imatch_fingerprints,
     "op3_lattice_likelihood": lattice_likelihood,
     "op4_nb_svm": nb_svm,
     "op5_toxic_segments": toxic_segments,
     "op6_site_spread_lines": site_spread_lines,
+    "op7_chosen_path_join": chosen_path_join,
     "op8_byte_bpe": byte_bpe,
     "op9_window_hits": window_hits,
     "op10_bootstrapped_pii": bootstrapped_pii,
