@@ -3,7 +3,7 @@
 The lexicon is the terms whose share of documents lies in a band: neither so common that they tell
 nothing nor so rare that they may be typing errors. Every term is put at random, by its hash, into
 some of the subsets of several levels; a level's subsets hold the same share of the lexicon, from
-half of it to one in 128. A text's fingerprint is, for each subset, a 16-bit hash of its distinct
+half of it to one in 2,048. A text's fingerprint is, for each subset, a 16-bit hash of its distinct
 terms in that subset (a sum of mixed term hashes, so order and repetition make no difference).
 Two fingerprints are alike by the share of equal hashes on the sparsest level where a third of the
 subsets hold something: there a subset holds a term or two of a text, so that the share falls
@@ -34,7 +34,7 @@ from pyspark.sql import types as T
 #: Band of document shares. Texts of 235 different terms in the mean have 235 / LEAST at most in it.
 LEAST, MOST = 0.001, 0.1
 #: One in so many terms of the lexicon is in a subset, by level, and subsets of a level.
-RATES, SUBSETS = (2, 8, 32, 128), 24
+RATES, SUBSETS = (2, 8, 32, 128, 512, 2048), 24
 #: Slots of the filter that decides which terms are counted exactly.
 SLOTS = 1 << 20
 #: Buckets of neighbouring ids for each shuffle partition, so that partitions come out even.

@@ -160,6 +160,7 @@ class Pieces:
 def score_words(counted: DataFrame, pieces: Pieces, total: int, distinct: int) -> DataFrame:
     """``word``, ``c``, and the common logarithms ``base`` and ``score`` of its probabilities."""
     spare = DISCOUNT * distinct / total if total else 1.0
+    end = 1 / (distinct + 2)
     floor = total + BASE * (distinct + 1)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -169,10 +170,10 @@ def score_words(counted: DataFrame, pieces: Pieces, total: int, distinct: int) -
             scores = []
             for w, c in zip(names, numbers, strict=True):
                 own = (c - DISCOUNT) / total if c else 0.0
-                if w == END:  # spelled by no pieces: what is spare goes to it whole
-                    scores.append(math.log10(own + spare / (distinct + 1)))
+                if w == END:  # spelled by no pieces
+                    scores.append(math.log10(own + spare * end))
                     continue
-                spelled = math.log(spare) + pieces.likelihood(w)
+                spelled = math.log(spare * (1 - end)) + pieces.likelihood(w)
                 scores.append((math.log(own) + math.log1p(math.exp(spelled - math.log(own))) if own else spelled) / math.log(10))
             out = [*batch.columns, pa.array(base, pa.float64()), pa.array(scores, pa.float64())]
             yield pa.RecordBatch.from_arrays(out, names=["word", "c", "base", "score"])
