@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cityobs.llm import bpe, cpsjoin, decontaminate, imatch, lattice, lines, pii, quality, sharding, toxicity, training
+from cityobs.llm.oracles import ORACLES
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -141,4 +142,4 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_bootstrapped_pii": bootstrapped_pii,
 }
 
-ORACLES: dict[str, str] = {}
+__all__ = ["ORACLES", "QUERIES"]
