@@ -25,9 +25,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
 #: Characters that one call of the tokenizer gets, as its result takes over 100 bytes a token.
-CHUNK_CHARS = 2_000_000
+CHUNK_CHARS = 500_000
 #: Parts whose ids a Python worker remembers; beyond it starts anew.
-REMEMBERED = 400_000
+REMEMBERED = 200_000
+#: Rows whose ids are taken out of Arrow at once.
+DECODED_ROWS = 100
 
 
 def byte_table() -> dict[int, str]:
@@ -65,23 +67,18 @@ _SPACES = re.compile(r"\s\s|^\s|\s\Z")
 
 
 def parts(text: str) -> list[str]:
-    """The text cut where no token can span.
+    """The text cut where no token can span; the single space before every part but the first is left out.
 
     A space is only ever the first character of a match or part of a run of white space, so a
     single space between two other characters begins a match. A single line break between two
-    others is a match of its own.
+    others is a match of its own; the part that it begins has no space before it.
     """
-    if _SPACES.search(text):
-        cut = _CUT.split(text)
-        return [cut[0], *[" " + x for x in cut[1:]]]
-    out: list[str] = []
-    for line in text.split("\n"):
-        if out:
-            out.append("\n")
-        cut = line.split(" ")
-        out.append(cut[0])
-        out += [" " + x for x in cut[1:]]
-    return out
+    return _CUT.split(text) if _SPACES.search(text) else text.replace("\n", " \n").split(" ")
+
+
+def spelled(part: str) -> str:
+    """A part that is not the first of its text, as it stands there."""
+    return part if part[0] == "\n" else " " + part
 
 
 class _Encoder:
@@ -95,6 +92,8 @@ class _Encoder:
         self.known: dict[str, bytes] = {}
         self.spans: dict[str, bytes] = {}
         self.offsets = offsets
+        marks = self.tokenizer.encode_batch([".", ","], add_special_tokens=False)
+        self.marks = {m: np.array(e.ids, np.int32).tobytes() for m, e in zip(".,", marks, strict=True)}
 
     def put(self, part: str, ids: np.ndarray, spans: np.ndarray) -> None:
         self.known[part] = ids.tobytes()
@@ -102,17 +101,14 @@ class _Encoder:
             self.spans[part] = spans.tobytes()
 
     def learn(self, new: list[str]) -> None:
-        """Those that begin with a space are joined, as it ends the part before."""
-        several, single = [], []
-        for x in new:
-            (several if len(x) > 1 and x[0] == " " and not x[-1].isspace() and not x[1].isspace() else single).append(x)
-        for x, e in zip(single, self.tokenizer.encode_batch(single, add_special_tokens=False), strict=True):
-            self.put(x, np.array(e.ids, np.int32), np.array(e.offsets, np.int32).reshape(-1, 2))
-        groups = [several[i : i + 500] for i in range(0, len(several), 500)]
-        joined = self.tokenizer.encode_batch(["".join(g) for g in groups], add_special_tokens=False)
+        """Parts that end in no white space are joined, as each ends where the next begins."""
+        several = [x for x in new if not x[-1].isspace()]
+        single = [x for x in new if x[-1].isspace()]
+        groups = [several[i : i + 500] for i in range(0, len(several), 500)] + [[x] for x in single]
+        joined = self.tokenizer.encode_batch(["".join(map(spelled, g)) for g in groups], add_special_tokens=False)
         for group, e in zip(groups, joined, strict=True):
             ids, spans = np.array(e.ids, np.int32), np.array(e.offsets, np.int32).reshape(-1, 2)
-            ends = np.cumsum([len(x) for x in group])
+            ends = np.cumsum([len(spelled(x)) for x in group])
             cuts = np.searchsorted(spans[:, 0], ends).tolist()
             first, start = 0, 0
             for x, last, end in zip(group, cuts, ends.tolist(), strict=True):
@@ -121,28 +117,34 @@ class _Encoder:
 
     def group(self, texts: list[str]) -> Iterator[tuple[np.ndarray, np.ndarray | None]]:
         cut = [parts(t) for t in texts]
+        first = self.tokenizer.encode_batch([ps[0] for ps in cut], add_special_tokens=False)
+        rest = [ps[1:] for ps in cut]
         known, spans = self.known, self.spans
         if len(known) > REMEMBERED:
             known.clear()
             spans.clear()
-        new = set().union(*cut).difference(known)
-        ended = [p for p in new if len(p) > 2 and p[-1] in ".," and p[-2].isalpha()]
+        new = set().union(*rest).difference(known)
+        ended = [p for p in new if len(p) > 1 and p[-1] in self.marks and p[-2].isalpha()]
         new.difference_update(ended)
-        new.update(b for p in ended for b in (p[:-1], p[-1]) if b not in known)
+        new.update(p[:-1] for p in ended if p[:-1] not in known)
         self.learn(sorted(new))
         for p in ended:  # a full stop or comma after a letter is a match of its own
-            known[p] = known[p[:-1]] + known[p[-1]]
+            known[p] = known[p[:-1]] + self.marks[p[-1]]
             if self.offsets:
-                spans[p] = spans[p[:-1]] + np.array([len(p) - 1, len(p)], np.int32).tobytes()
-        for ps in cut:
-            ids = np.frombuffer(b"".join(map(known.__getitem__, ps)), np.int32)
+                n = len(spelled(p))
+                spans[p] = spans[p[:-1]] + np.array([n - 1, n], np.int32).tobytes()
+        for start, ps in zip(first, rest, strict=True):
+            ids = np.frombuffer(np.array(start.ids, np.int32).tobytes() + b"".join(map(known.__getitem__, ps)), np.int32)
             if not self.offsets:
                 yield ids, None
                 continue
-            starts = np.cumsum([0, *map(len, ps[:-1])], dtype=np.int32)
+            widths = [len(spelled(p)) for p in ps]
+            origin = start.offsets[-1][1] if start.offsets else 0
+            begins = np.cumsum([origin, *widths[:-1]], dtype=np.int32)[: len(ps)]
             counts = [len(known[p]) // 4 for p in ps]
             within = np.frombuffer(b"".join(map(spans.__getitem__, ps)), np.int32).reshape(-1, 2)
-            yield ids, within + np.repeat(starts, counts)[:, None]
+            head = np.array(start.offsets, np.int32).reshape(-1, 2)
+            yield ids, np.concatenate([head, within + np.repeat(begins, counts)[:, None]])
 
     def __call__(self, texts: list[str]) -> Iterator[tuple[np.ndarray, np.ndarray | None]]:
         waiting, size = [], 0
@@ -190,7 +192,7 @@ def encode(
                 ids.append(found)
                 spans.append(where)
                 tokens += len(found)
-                if tokens > 500_000:
+                if tokens > 250_000:
                     yield out(k + 1)
                     at, ids, spans, tokens = k + 1, [], [], 0
             if ids:
@@ -207,11 +209,16 @@ def decode(
     at = df.columns.index(ids)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        table = list(_token_bytes(vocabulary))
-        for i in special:
-            table[i] = b""
+        table = dict(enumerate(_token_bytes(vocabulary))) | dict.fromkeys(special, b"")
         for batch in batches:
-            done = [b"".join(map(table.__getitem__, x or ())) for x in batch.column(at).to_pylist()]
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(done, pa.binary())], names=schema.fieldNames())
+            for start in range(0, batch.num_rows, DECODED_ROWS):
+                some = batch.slice(start, DECODED_ROWS)
+                column = some.column(at)
+                values = column.flatten().to_pylist()  # of rows that are not null
+                done, k = [], 0
+                for n in column.value_lengths().to_pylist():
+                    done.append(b"".join(map(table.__getitem__, values[k : k + (n or 0)])))
+                    k += n or 0
+                yield pa.RecordBatch.from_arrays([*some.columns, pa.array(done, pa.binary())], names=schema.fieldNames())
 
     return df.mapInArrow(run, schema)
