@@ -14,9 +14,10 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
-from pyspark.sql.types import DataType, StringType, TimestampNTZType
+from pyspark.sql.types import DataType, StringType, TimestampNTZType, TimestampType
 
 DAY_SECONDS = 86400
+EPOCH = "1970-01-01 00:00:00"
 
 #: Longest zone list written as a CASE. A longer one makes the generated method too large
 #: for the JVM to compile (measured: 64 zones run at full speed, 200 do not).
@@ -35,9 +36,10 @@ def as_time(column: Column, data_type: DataType) -> Column:
     """Time column as ``timestamp_ntz``, decided by its type in the schema."""
     if isinstance(data_type, StringType):
         return parse_time(column)
-    if isinstance(data_type, TimestampNTZType):
-        return column
-    return column.cast("timestamp_ntz")
+    if isinstance(data_type, TimestampType):
+        # The instant itself: a cast would go through the session zone.
+        return F.timestamp_add("MICROSECOND", F.unix_micros(column), F.lit(EPOCH).cast("timestamp_ntz"))
+    return column if isinstance(data_type, TimestampNTZType) else column.cast("timestamp_ntz")
 
 
 def epoch_seconds(ts: Column) -> Column:
@@ -51,14 +53,19 @@ def epoch_seconds(ts: Column) -> Column:
 
 
 def local_seconds(seconds: Column, zone: Column, zones: Sequence[str] | None) -> Column:
-    """Wall-clock seconds in ``zone`` at the instant ``seconds``; null for a null zone."""
+    """Wall-clock seconds in ``zone`` at the instant ``seconds``; null for a null zone.
+
+    A zone that ``zones`` lacks is shifted as well, by the column.
+    """
     instant = F.timestamp_seconds(seconds)
-    if zones is None or len(zones) > MAX_INLINE_ZONES:
-        return F.unix_seconds(F.from_utc_timestamp(instant, zone))
-    local = F.when(F.lit(False), F.lit(None).cast("long"))
-    for name in sorted(zones):
+    by_column = F.unix_seconds(F.from_utc_timestamp(instant, zone))
+    if not zones or len(zones) > MAX_INLINE_ZONES:
+        return by_column
+    first, *rest = sorted(zones)
+    local = F.when(zone == first, F.unix_seconds(F.from_utc_timestamp(instant, first)))
+    for name in rest:
         local = local.when(zone == name, F.unix_seconds(F.from_utc_timestamp(instant, name)))
-    return local
+    return local.otherwise(by_column)
 
 
 def seconds_to_date(seconds: Column) -> Column:

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from cityobs.scratch import materialise
+
 #: Broadcast bounds. Both are checked against counted rows and bytes, not estimates.
 MAX_BROADCAST_ROWS = 200_000
 MAX_BROADCAST_BYTES = 64 * 1024 * 1024
@@ -43,51 +45,66 @@ def checked_join(
     few_rows: int,
     how: str = "inner",
     max_rows: int = MAX_BROADCAST_ROWS,
+    row_bytes: int = 256,
 ) -> DataFrame:
-    """Broadcast when the counted ``few_rows`` allow it, salted join beyond."""
-    if few_rows <= max_rows:
+    """Broadcast when ``few_rows`` of at most ``row_bytes`` allow it; beyond, a plain join.
+
+    ``few_rows`` is a count or a proven bound. A plain join is what unique keys want; where a key
+    of either side is heavy, adaptive execution splits its task.
+    """
+    if few_rows <= max_rows and few_rows * row_bytes <= MAX_BROADCAST_BYTES:
         return broadcast_join(many, few, on, how)
-    return salted_join(many, few, on, how)
+    return many.join(few, on, how)
 
 
-def hot_keys(df: DataFrame, key: str, hot_rows: int, at_most: int = 1000) -> list[tuple]:
-    """The heaviest keys with more than ``hot_rows`` rows, with their counts.
+def hot_keys(
+    many: DataFrame, few: DataFrame, many_key: str, few_key: str, hot_rows: int
+) -> DataFrame:
+    """Keys with more than ``hot_rows`` rows on either side, and the pieces to cut each side into.
 
-    Keys beyond the first ``at_most`` hold less than one part in ``at_most`` of the rows each and
-    need no splitting.
+    Both sides are counted in one aggregation, combined in each task before the shuffle.
     """
-    counts = df.where(F.col(key).isNotNull()).groupBy(key).count().where(F.col("count") > hot_rows)
-    return [tuple(r) for r in counts.orderBy(F.desc("count"), key).limit(at_most).collect()]
+    sides = [
+        df.where(F.col(key).isNotNull()).select(F.col(key).alias("key"), F.lit(k).alias("side"))
+        for k, (df, key) in enumerate(((many, many_key), (few, few_key)))
+    ]
+    counts = sides[0].unionByName(sides[1]).groupBy("key").agg(
+        *(F.count_if(F.col("side") == k).alias(n) for k, n in enumerate(("many", "few")))
+    )
+    pieces = [F.greatest(F.ceil(F.col(c) / hot_rows), F.lit(1)).cast("int").alias(f"{c}_pieces") for c in ("many", "few")]
+    return counts.where((F.col("many") > hot_rows) | (F.col("few") > hot_rows)).select("key", *pieces)
 
 
 def split_hot_join(
-    many: DataFrame, few: DataFrame, many_key: str, few_key: str, hot_rows: int = 1_000_000
+    many: DataFrame, few: DataFrame, many_key: str, few_key: str, hot_rows: int | None = None
 ) -> DataFrame:
-    """Inner equi-join in which only the hot keys of ``many`` are split.
+    """Inner equi-join; with ``hot_rows``, keys with more rows than that on a side are split.
 
-    One counting pass finds them. Each is cut into pieces of about ``hot_rows`` rows; the rows of
-    ``few`` with that key are repeated once per piece. All other keys join as they are.
+    A hot key's rows are cut into pieces of about ``hot_rows`` on each side, and every piece of one
+    side meets every piece of the other once. There are at most ``rows / hot_rows`` hot keys; they
+    are broadcast if that is few enough. Otherwise, and without ``hot_rows``, the join is plain
+    and adaptive execution splits heavy tasks.
     """
-    hot = hot_keys(many, many_key, hot_rows)
-    if not hot:
-        return many.join(few, many[many_key] == few[few_key])
-    spark = many.sparkSession
-    key_type = many.schema[many_key].dataType.simpleString()
-    pieces = spark.createDataFrame(
-        [(key, -(-n // hot_rows)) for key, n in hot], f"__key {key_type}, __pieces long"
-    )
-    left = (
-        many.join(F.broadcast(pieces), F.col(many_key) == F.col("__key"), "left")
-        .withColumn("__piece", F.pmod(F.xxhash64(*many.columns), F.coalesce("__pieces", F.lit(1))))
-        .drop("__key", "__pieces")
-    )
-    right = (
-        few.join(F.broadcast(pieces), F.col(few_key) == F.col("__key"), "left")
-        .withColumn(
-            "__few_piece",
-            F.explode(F.sequence(F.lit(0).cast("long"), F.coalesce("__pieces", F.lit(1)) - 1)),
-        )
-        .drop("__key", "__pieces")
+    plain = many[many_key] == few[few_key]
+    if hot_rows is None:
+        return many.join(few, plain)
+    hot = materialise(hot_keys(many, few, many_key, few_key, hot_rows), "hot-keys")
+    found = hot.count()
+    if not 0 < found <= MAX_BROADCAST_ROWS:
+        return many.join(few, plain)
+
+    def cut(df: DataFrame, key: str, own: str, other: str) -> DataFrame:
+        """Each row with its own piece, once for every piece of the other side."""
+        marked = df.join(F.broadcast(hot), F.col(key) == F.col("key"), "left")
+        one = F.lit(1)
+        piece = F.pmod(F.xxhash64(*df.columns), F.coalesce(f"{own}_pieces", one)).cast("int")
+        copies = F.explode(F.sequence(F.lit(0), F.coalesce(f"{other}_pieces", one) - 1))
+        return marked.select(*df.columns, piece.alias(f"__{own}"), copies.alias(f"__{own}_{other}"))
+
+    left, right = cut(many, many_key, "many", "few"), cut(few, few_key, "few", "many")
+    match = (
+        (F.col(many_key) == F.col(few_key))
+        & (F.col("__many") == F.col("__few_many"))
+        & (F.col("__many_few") == F.col("__few"))
     )
-    match = (F.col(many_key) == F.col(few_key)) & (F.col("__piece") == F.col("__few_piece"))
-    return left.join(right, match).drop("__piece", "__few_piece")
+    return left.join(right, match).drop("__many", "__few", "__many_few", "__few_many")

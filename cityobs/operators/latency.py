@@ -13,9 +13,11 @@ from pyspark.sql.types import DoubleType, StringType, StructField, StructType
 
 from cityobs.functions.localtime import epoch_seconds
 from cityobs.operators.joins import split_hot_join
+from cityobs.scratch import materialise
 
 DAY_MILLIS = 86_400_000
 
+# The fields of an elapsed record.
 ELAPSED_SCHEMA = StructType(
     [
         StructField("filename", StringType(), True),
@@ -43,10 +45,11 @@ def millis(ts: Column) -> Column:
     return epoch_seconds(ts) * 1000 + within
 
 
-def pair_events(events: DataFrame, hot_rows: int = 1_000_000) -> DataFrame:
+def pair_events(events: DataFrame, hot_rows: int | None = None) -> DataFrame:
     """One record ``filename, timestamp, elapsed`` (seconds) for every delivery of an arrival.
 
-    A file that was delivered very often is split over several tasks.
+    Adaptive execution splits uuids that make a task too large; ``hot_rows`` splits, on either
+    side, every uuid with more rows than that.
     """
     pairs = split_hot_join(_deliveries(events), _arrivals(events), "attr_uuid", "flow_uuid", hot_rows)
     epoch = F.lit("1970-01-01 00:00:00").cast("timestamp_ntz")
@@ -79,29 +82,42 @@ def _moments(time: str, side: str) -> list[Column]:
     ]
 
 
-def ingest_latency(events: DataFrame, hot_rows: int = 1_000_000) -> DataFrame:
+def ingest_latency(events: DataFrame, hot_rows: int | None = None) -> DataFrame:
     """``latency_by_file(pair_events(events))`` without making the pairs.
 
     Every arrival of a uuid meets every delivery of it, so over those pairs the mean elapsed time
     is the difference of the means and its variance the sum of the variances. Both sides are
     aggregated by uuid first; what is joined and pooled by file name is one row per uuid and name.
+    Pooling is centred: the mean of a name comes first, and the distances of its uuids' means to
+    it are squared, so that a long delay does not swallow a small spread.
     """
     arrivals = _arrivals(events).groupBy("flow_uuid").agg(*_moments("start", "in"))
     deliveries = _deliveries(events).groupBy("attr_uuid", "filename").agg(*_moments("end", "out"))
     joined = split_hot_join(deliveries, arrivals, "attr_uuid", "flow_uuid", hot_rows)
     days = F.col("day_out") - F.col("day_in")
     rest = F.col("rest_out") - F.col("rest_in")
-    per_uuid = joined.select(
-        "filename",
-        (F.col("n_in") * F.col("n_out")).alias("n"),
-        ((days * DAY_MILLIS + rest) / 1000).alias("mean"),
-        ((F.col("var_out") + F.col("var_in")) / 1e6).alias("var"),
+    per_uuid = materialise(
+        joined.select(
+            "filename",
+            (F.col("n_in") * F.col("n_out")).alias("n"),
+            days.alias("days"),
+            rest.alias("rest"),
+            (F.col("var_out") + F.col("var_in")).alias("var"),
+        ),
+        "latency",
     )
     n = F.sum("n")
-    mean = F.sum(F.col("n") * F.col("mean")) / n
-    square = F.sum(F.col("n") * (F.col("var") + F.col("mean") * F.col("mean"))) / n
-    return per_uuid.groupBy("filename").agg(
+    means = per_uuid.groupBy(F.col("filename").alias("name")).agg(
+        n.alias("count"),
+        (F.sum(F.col("n") * F.col("days")) / n).alias("mean_days"),
+        (F.sum(F.col("n") * F.col("rest")) / n).alias("mean_rest"),
+    )
+    pooled = per_uuid.join(means, F.col("filename").eqNullSafe(F.col("name")))
+    gap = (F.col("days") - F.col("mean_days")) * DAY_MILLIS + (F.col("rest") - F.col("mean_rest"))
+    square = F.sum(F.col("n") * (F.col("var") + gap * gap)) / F.first("count")
+    mean = F.first("mean_days") * (DAY_MILLIS // 1000) + F.first("mean_rest") / 1000
+    return pooled.groupBy("filename").agg(
         mean.alias("avg"),
-        F.sqrt(F.greatest(square - mean * mean, F.lit(0.0))).alias("stddev"),
-        n.cast("long").alias("count"),
+        (F.sqrt(square) / 1000).alias("stddev"),
+        F.first("count").cast("long").alias("count"),
     )

@@ -4,12 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from cityobs.functions.names import quoted
 
-#: Allowed gap between means and deviations of two formulations.
+# Fixed value: allowed gap between means and deviations of two formulations.
 TOLERANCE = 0.005
 
 
@@ -19,12 +19,12 @@ def parity(
     keys: Sequence[str],
     tolerance: Mapping[str, float] | float = 0.0,
 ) -> DataFrame:
-    """Keys on which ``a`` and ``b`` differ, with the number of rows on each side and both values.
+    """Where ``a`` and ``b`` differ: the key, its number of rows on each side, and both values.
 
-    Equal results give no rows. The two tables are laid on top of each other and aggregated by
-    key, not joined: partial sums meet each task's rows before the shuffle, a key that occurs
-    many times makes no pairs, and rows of one side alone come out too. A key that occurs twice
-    is compared by the smallest and the largest value of each column.
+    Equal results give no rows. Rows that are equal on both sides cancel out, as often as they occur
+    on both; they are counted before the shuffle, so a row that is repeated very often is one. What is
+    left of a key on each side is numbered in the order of its values and compared place by place,
+    within the tolerance; a place that only one side has is a difference.
     """
     keys = list(keys)
     values = [c for c in a.columns if c not in keys]
@@ -32,29 +32,36 @@ def parity(
     if missing:
         raise ValueError(f"columns on one side only: {sorted(missing)}")
     tolerances = tolerance if isinstance(tolerance, Mapping) else dict.fromkeys(values, tolerance)
-    both = a.withColumn("__left", F.lit(True)).unionByName(b.withColumn("__left", F.lit(False)))
+    both = a.withColumn("__a", F.lit(True)).unionByName(b.withColumn("__a", F.lit(False)))
+    key = [quoted(k) for k in keys]
+    counted = both.groupBy(*[quoted(c) for c in a.columns]).agg(
+        F.count_if(F.col("__a")).alias("__in_a"), F.count_if(~F.col("__a")).alias("__in_b")
+    )
+    whole = Window.partitionBy(*key)
+    totals = {f"rows_{s}": F.sum(f"__in_{s}").over(whole) for s in ("a", "b")}
+    left = (
+        counted.withColumns(totals)
+        .withColumn("__more", F.col("__in_a") - F.col("__in_b"))
+        .where(F.col("__more") != 0)
+    )
+    ahead = F.col("__more") > 0
+    order = Window.partitionBy(*key, ahead).orderBy(*[quoted(v) for v in values])
+    last = F.sum(F.abs("__more")).over(order.rowsBetween(Window.unboundedPreceding, 0))
+    places = F.explode(F.sequence(F.col("__last") - F.abs("__more") + 1, F.col("__last")))
+    numbered = left.withColumn("__last", last).withColumn("__place", places)
 
-    sides = {"a": F.col("__left"), "b": ~F.col("__left")}
-    columns = [F.count_if(side).alias(f"rows_{s}") for s, side in sides.items()]
-    for v in values:
-        for s, side in sides.items():
-            cell = F.when(side, quoted(v))
-            columns += [
-                F.min(cell).alias(f"{v}_{s}"),
-                F.max(cell).alias(f"__max_{v}_{s}"),
-                F.count(cell).alias(f"__n_{v}_{s}"),
-            ]
-    seen = both.groupBy(*[quoted(k) for k in keys]).agg(*columns)
-
-    differs = F.col("rows_a") != F.col("rows_b")
+    sides = {"a": ahead, "b": ~ahead}
+    cells = [F.count_if(side).alias(f"__at_{s}") for s, side in sides.items()]
+    cells += [F.max(F.when(side, quoted(v))).alias(f"{v}_{s}") for v in values for s, side in sides.items()]
+    pairs = numbered.groupBy(*key, "__place", *totals).agg(*cells)
+
+    differs = F.col("__at_a") != F.col("__at_b")
     for v in values:
-        gap = tolerances.get(v, 0.0)
-        differs = differs | (quoted(f"__n_{v}_a") != quoted(f"__n_{v}_b"))
-        for left, right in ((f"{v}_a", f"{v}_b"), (f"__max_{v}_a", f"__max_{v}_b")):
-            left, right = quoted(left), quoted(right)
-            unequal = ~left.eqNullSafe(right)
-            if gap:
-                unequal = unequal & (F.abs(left - right) > gap)
-            differs = differs | F.coalesce(unequal, F.lit(False))
+        left_value, right_value = quoted(f"{v}_a"), quoted(f"{v}_b")
+        unequal = ~left_value.eqNullSafe(right_value)
+        if gap := tolerances.get(v, 0.0):
+            one_null = left_value.isNull() | right_value.isNull()
+            unequal = unequal & (one_null | (F.abs(left_value - right_value) > gap))
+        differs = differs | unequal
     shown = [quoted(f"{v}_{s}") for v in values for s in sides]
-    return seen.where(differs).select(*[quoted(k) for k in keys], "rows_a", "rows_b", *shown)
+    return pairs.where(differs).select(*key, *totals, *shown)

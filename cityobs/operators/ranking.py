@@ -33,23 +33,30 @@ def top_within(
 
 
 def rank_of_picks(
-    df: DataFrame, picks: DataFrame, group: list[str], value: str, name: str, tie: str = "City"
+    df: DataFrame,
+    picks: DataFrame,
+    group: list[str],
+    value: str,
+    name: str,
+    tie: str = "City",
+    picks_bound: int | None = None,
 ) -> DataFrame:
     """Place of each of a few ``picks`` among all rows of ``df``, without sorting the groups.
 
     The place is one more than the number of rows of the group that come earlier, and that is a
-    count, combined in each task before the shuffle. Picks without a ``value`` drop out.
+    count, combined in each task before the shuffle. Picks without a ``value`` drop out. A null
+    group is a group. ``picks_bound`` is how many picks there are at most, if that is known.
     """
     picks = picks.where(F.col(value).isNotNull())
-    few = picks.select(
-        *group, F.col(value).alias("__value"), F.col(tie).alias("__tie")
-    )
-    others = df.select(*group, value, tie).where(F.col(value).isNotNull())
-    pairs = checked_join(others, few, group, few.count())
+    key = F.struct(*group).alias("__group")  # fields that are null on both sides are equal in it
+    few = picks.select(key, F.col(value).alias("__value"), F.col(tie).alias("__tie"))
+    others = df.select(key, value, tie).where(F.col(value).isNotNull())
+    pairs = checked_join(others, few, ["__group"], few.count() if picks_bound is None else picks_bound)
     earlier = (F.col(value) > F.col("__value")) | (
         (F.col(value) == F.col("__value")) & (F.col(tie) < F.col("__tie"))
     )
-    places = pairs.groupBy(*group, F.col("__tie").alias(tie)).agg(
-        (F.count_if(earlier) + 1).cast("int").alias(name)
+    places = pairs.groupBy("__group", "__tie").agg((F.count_if(earlier) + 1).cast("int").alias(name))
+    keyed = picks.withColumn("__group", key)
+    return keyed.join(places, (keyed["__group"] == places["__group"]) & (keyed[tie] == places["__tie"])).select(
+        *picks.columns, name
     )
-    return picks.join(places, [*group, tie])

@@ -12,7 +12,7 @@ from pyspark.sql.types import (
     StructType,
 )
 
-#: Runs at the start of each cell that do not count.
+# Fixed value: runs at the start of each cell that do not count.
 WARMUP_RUNS = 2
 
 RUN_SCHEMA = StructType(
@@ -29,14 +29,12 @@ RUN_SCHEMA = StructType(
 def summarize_runs(log: DataFrame, warmup: int = WARMUP_RUNS) -> DataFrame:
     """``query, format, variant, runs, avg, stddev`` over the runs after the warm-up, in seconds.
 
-    Runs are numbered from 1. The deviation is that of the population.
+    Runs are numbered from 1. The deviation is that of the population. Where no run is left to
+    count, ``runs`` is 0 and the others are null.
     """
-    return (
-        log.where(F.col("run") > warmup)
-        .groupBy("query", "format", "variant")
-        .agg(
-            F.count("seconds").cast("int").alias("runs"),
-            F.avg("seconds").alias("avg"),
-            F.stddev_pop("seconds").alias("stddev"),
-        )
+    counted = F.when(F.col("run") > warmup, F.col("seconds"))
+    return log.groupBy("query", "format", "variant").agg(
+        F.count(counted).cast("int").alias("runs"),
+        F.avg(counted).alias("avg"),
+        F.stddev_pop(counted).alias("stddev"),
     )

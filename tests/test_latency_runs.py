@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from cityobs.operators.latency import ingest_latency, latency_by_file, pair_events
 from cityobs.operators.runs import RUN_SCHEMA, summarize_runs
-from cityobs.operators.joins import hot_keys, salted_join
+from cityobs.operators.joins import hot_keys, salted_join, split_hot_join
 from cityobs.sources.elapsed import read_elapsed, write_elapsed
 
 EVENTS = "event_type string, flow_uuid string, event_time_ms long, duration_ms long, attr_uuid string, filename string"
@@ -55,7 +55,9 @@ def test_report_without_pairs_equals_report_of_pairs(spark, hot_rows):
 
 def test_hot_keys_and_salted_join(spark):
     many = spark.range(1000).select(F.when(F.col("id") < 400, 0).otherwise(F.col("id") % 7).alias("k"), "id")
-    assert hot_keys(many, "k", 300) == [(0, many.where("k = 0").count())]
+    n = many.where("k = 0").count()
+    once = spark.range(7).select(F.col("id").alias("o"))
+    assert rows(hot_keys(many, once, "k", "o", 300)) == [(0, -(-n // 300), 1)]
     few = spark.createDataFrame([(0, "z"), (1, "a"), (9, "n")], "k long, name string")
     for how in ("inner", "left"):
         assert rows(salted_join(many, few, ["k"], how, salts=5)) == rows(many.join(few, ["k"], how))
@@ -63,6 +65,27 @@ def test_hot_keys_and_salted_join(spark):
         salted_join(many, few, ["k"], "full_outer")
 
 
+@pytest.mark.parametrize("hot_rows", [None, 1, 3, 50])
+def test_split_join_cuts_both_sides(spark, hot_rows):
+    many = spark.range(400).select((F.col("id") % 9).alias("k"), F.when(F.col("id") % 9 == 8, None).otherwise(F.col("id")).alias("x"))
+    few = spark.range(60).select(F.when(F.col("id") < 40, 3).otherwise(F.col("id") % 12).alias("o"), F.col("id").alias("y"))
+    got = split_hot_join(many, few, "k", "o", hot_rows)
+    assert rows(got) == rows(many.join(few, F.col("k") == F.col("o")))
+    assert got.columns == ["k", "x", "o", "y"]
+
+
+def test_deviation_survives_long_delays(spark):
+    n = F.col("id")
+    start, took = n * 61_000, F.lit(30 * 86_400_000) + n % 3
+    both = spark.range(20_000).select(F.concat(F.lit("u"), n.cast("string")).alias("u"), start.alias("s"), (start + took).alias("e"))
+    given = both.selectExpr(
+        "'RECEIVE' event_type", "u flow_uuid", "s event_time_ms", "0L duration_ms", "CAST(null AS string) attr_uuid", "'f' filename"
+    ).unionByName(both.selectExpr("'SEND' event_type", "'x' flow_uuid", "e event_time_ms", "0L duration_ms", "u attr_uuid", "'f' filename"))
+    (got,), (want,) = ingest_latency(given).collect(), latency_by_file(pair_events(given)).collect()
+    assert got["stddev"] == pytest.approx(want["stddev"], abs=1e-9) and want["stddev"] < 0.001
+    assert got["avg"] == pytest.approx(want["avg"], abs=1e-6) and got["count"] == 20_000
+
+
 def test_records_as_json_lines_and_as_a_list(spark, tmp_path):
     records = pair_events(events(spark))
     write_elapsed(records, str(tmp_path / "lines"))
