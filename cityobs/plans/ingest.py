@@ -40,15 +40,24 @@ def ingest(
     formats: Iterable[str] = ("csv", "parquet"),
     names: Iterable[str] = (*RULES, DESCRIPTION),
     places: DataFrame | None = None,
+    by_year: bool = True,
+    files_per_year: int | None = None,
 ) -> dict[str, dict[str, str]]:
     """Clean ``<raw_dir>/<name>.csv`` for every name, and the cities when ``places`` are given,
-    and publish them below ``layout``. Returns the path of each table and format."""
+    and publish them below ``layout``. Returns the path of each table and format.
+
+    The Parquet tree of each measure is partitioned by year, so that questions about some years
+    read only those; ``files_per_year`` spreads a year over that many tasks.
+    """
     formats = list(formats)
     raw_dir = raw_dir.rstrip("/")
     published = {}
     for name in names:
         raw = read_table(spark, f"{raw_dir}/{name}.csv", "csv")
-        published[name] = publish(clean_table(raw, name), layout, name, formats)
+        cleaned = clean_table(raw, name)
+        published[name] = publish(
+            cleaned, layout, name, formats, by_year=by_year, files_per_year=files_per_year
+        )
     if places is not None:
         raw = read_table(spark, f"{raw_dir}/{CITIES}.csv", "csv")
         published[CITIES] = publish(clean_cities(raw, places), layout, CITIES, formats)

@@ -2,52 +2,61 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from cityobs.functions.names import quoted
 from cityobs.operators.dimension import CityDimension, city_dimension, localize
 
 KEYS = ["Year", "Month", "Country"]
 STATISTICS = ("max", "min", "avg", "std_samp", "std_pop")
 
 
-def _month_rows(obs: DataFrame, dim: CityDimension, value: str) -> DataFrame:
+def _month_rows(obs: DataFrame, dim: CityDimension, measures: Sequence[str]) -> DataFrame:
+    values = [F.col(m).cast("double").alias(f"value_{i}") for i, m in enumerate(measures)]
     return (
-        localize(obs.select("ts", "City", F.col(value).cast("double").alias("value")), dim)
-        .where(F.col("local_date").isNotNull() & F.col("value").isNotNull())
+        localize(obs.select("ts", "City", *values), dim)
+        .where(F.col("local_date").isNotNull())
         .select(
             F.year("local_date").alias("Year"),
             F.month("local_date").alias("Month"),
             "Country",
-            "value",
+            *[f"value_{i}" for i in range(len(measures))],
         )
     )
 
 
-def _moments(value: str) -> list[Column]:
+def _moments(value: str, measure: str) -> list[Column]:
     """What one pass must carry; the sample deviation follows from the others."""
     return [
-        F.max(value).alias("max"),
-        F.min(value).alias("min"),
-        F.avg(value).alias("avg"),
-        F.stddev_pop(value).alias("std_pop"),
-        F.count(value).alias("n"),
+        F.max(value).alias(f"max_{measure}"),
+        F.min(value).alias(f"min_{measure}"),
+        F.avg(value).alias(f"avg_{measure}"),
+        F.stddev_pop(value).alias(f"std_pop_{measure}"),
+        F.count(value).alias(f"__n_{measure}"),
     ]
 
 
-def _std_samp() -> Column:
-    n = F.col("n")
-    return F.when(n > 1, F.col("std_pop") * F.sqrt(n / (n - 1)))
+def _table_stats(obs: DataFrame, dim: CityDimension, measures: Sequence[str]) -> DataFrame:
+    """Statistics of several measures of one table: one scan, one zone shift, one aggregation."""
+    rows = _month_rows(obs, dim, measures)
+    moments = [c for i, m in enumerate(measures) for c in _moments(f"value_{i}", m)]
+    seen = sum((quoted(f"__n_{m}") for m in measures), F.lit(0))
+    stats = rows.groupBy(*KEYS).agg(*moments).where(seen > 0)
+    samples = {}
+    for m in measures:
+        n = quoted(f"__n_{m}")
+        samples[f"std_samp_{m}"] = F.when(n > 1, quoted(f"std_pop_{m}") * F.sqrt(n / (n - 1)))
+    return stats.withColumns(samples)
 
 
 def measure_stats(obs: DataFrame, dim: DataFrame | CityDimension, measure: str) -> DataFrame:
     """``Year, Month, Country`` and ``<statistic>_<measure>`` for one measure."""
-    rows = _month_rows(obs, city_dimension(dim), measure)
-    stats = rows.groupBy(*KEYS).agg(*_moments("value")).withColumn("std_samp", _std_samp())
-    return stats.select(*KEYS, *[F.col(s).alias(f"{s}_{measure}") for s in STATISTICS])
+    stats = _table_stats(obs, city_dimension(dim), [measure])
+    return stats.select(*KEYS, *[quoted(f"{s}_{measure}") for s in STATISTICS])
 
 
 def monthly_stats(
@@ -62,9 +71,10 @@ def monthly_stats(
     ``how="full_outer"`` keeps months that some measure lacks, with nulls, and cities without a
     country as a group of their own; ``"inner"`` drops both.
 
-    ``direct`` aggregates the measures together, the measure being one more grouping key, and then
-    lays the few result rows out in columns. ``joined`` aggregates each measure by itself and joins
-    the results on their keys; it gives the same rows with a shuffle for each measure and join.
+    Measures may share a table: those given with the same ``DataFrame`` are aggregated in one pass
+    over it. ``direct`` lays the few result rows of all tables on top of each other and aggregates
+    them again. ``joined`` aggregates each measure by itself and joins the results on their keys; it
+    gives the same rows with a shuffle for each measure and join.
     """
     if not tables or any(not name for name in tables):
         raise ValueError("every measure needs a name")
@@ -77,7 +87,7 @@ def monthly_stats(
         wide = _together(tables, dim, how)
     else:
         raise ValueError(f"method is 'direct' or 'joined', not {method!r}")
-    columns = [f"{s}_{name}" for name in tables for s in STATISTICS]
+    columns = [quoted(f"{s}_{name}") for name in tables for s in STATISTICS]
     return wide.select(*KEYS, *columns).orderBy(*KEYS)
 
 
@@ -94,25 +104,17 @@ def _one_by_one(tables: Mapping[str, DataFrame], dim: CityDimension, how: str) -
 
 
 def _together(tables: Mapping[str, DataFrame], dim: CityDimension, how: str) -> DataFrame:
-    long = reduce(
-        DataFrame.unionByName,
-        [
-            _month_rows(obs, dim, name).withColumn("measure", F.lit(i))
-            for i, (name, obs) in enumerate(tables.items())
-        ],
-    )
-    stats = (
-        long.groupBy(*KEYS, "measure")
-        .agg(*_moments("value"))
-        .withColumn("std_samp", _std_samp())
-        .drop("n")
-    )
-    spread = [
-        F.max(F.when(F.col("measure") == i, F.col(s))).alias(f"{s}_{name}")
-        for i, name in enumerate(tables)
-        for s in STATISTICS
-    ]
-    wide = stats.groupBy(*KEYS).agg(*spread, F.count("*").alias("__measures"))
+    shared: dict[int, tuple[DataFrame, list[str]]] = {}
+    for name, obs in tables.items():
+        shared.setdefault(id(obs), (obs, []))[1].append(name)
+    parts = [_table_stats(obs, dim, names) for obs, names in shared.values()]
+    wide = parts[0]
+    if len(parts) > 1:
+        union = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
+        rest = [c for c in union.columns if c not in KEYS]
+        wide = union.groupBy(*KEYS).agg(*[F.max(quoted(c)).alias(c) for c in rest])
     if how == "inner":
-        wide = wide.where((F.col("__measures") == len(tables)) & F.col("Country").isNotNull())
-    return wide.drop("__measures")
+        for name in tables:
+            wide = wide.where(quoted(f"__n_{name}") > 0)
+        wide = wide.where(F.col("Country").isNotNull())
+    return wide

@@ -10,8 +10,12 @@ from pyspark.sql import functions as F
 from cityobs.functions.localtime import near_local_months
 from cityobs.operators.dimension import CityDimension, localize
 
-# Fixed value: the text that counts as clear sky.
+# The text that counts as clear sky, the months asked about, the hours that a sunny day
+# exceeds, and the days that a sunny month needs.
 CLEAR = "sky is clear"
+MONTHS = (3, 4, 5)
+MIN_HOURS = 16
+MIN_DAYS = 15
 
 
 def clear_days(
@@ -40,9 +44,9 @@ def clear_days(
 def sunny_periods(
     obs: DataFrame,
     dim: DataFrame | CityDimension,
-    months: Sequence[int] = (3, 4, 5),
-    min_hours: int = 16,
-    min_days: int = 15,
+    months: Sequence[int] = MONTHS,
+    min_hours: int = MIN_HOURS,
+    min_days: int = MIN_DAYS,
     how: str = "direct",
     condition: str = "description",
     clear: str = CLEAR,

@@ -75,16 +75,6 @@ def yearly_swing(readings: DataFrame, slots: Mapping[str, tuple[int, int]] = SLO
     ).where(F.col("difference").isNotNull())
 
 
-def _joined_swing(readings: DataFrame, slots: Mapping[str, tuple[int, int]]) -> DataFrame:
-    keys = ["Country", "City", "year"]
-    one, other = (
-        readings.where(F.col("slot") == slot).groupBy(*keys).agg(F.avg("value").alias(name))
-        for name, slot in zip(("one", "other"), slots, strict=True)
-    )
-    gap = F.abs(F.col("one") - F.col("other"))
-    return one.join(other, keys).select(*keys, gap.alias("difference"))
-
-
 def _by_city(readings: DataFrame, slots: Mapping[str, tuple[int, int]], years: dict) -> DataFrame:
     """One row per city with the difference of every year, in one aggregation."""
     one, other = slots
@@ -116,27 +106,18 @@ def seasonal_swing(
     Cities without a swing in the base year drop out; the others keep their place of ``year``,
     or are numbered again with ``rerank_after_join``. Equal swings are ordered by city.
 
-    ``direct`` makes one pass and one aggregation for both years. ``joined`` averages each season
-    by itself, joins the two and joins the years; it gives the same rows with more shuffles.
+    Every method makes one pass and one aggregation for both years. ``direct`` then sorts the cities
+    of a country, if the dimension is small enough for that; ``counting``, and ``direct`` with a
+    larger dimension, takes the top cities in each task first and counts who comes before them.
     """
     dim = city_dimension(dim)
     if len(slots) != 2:
         raise ValueError("a swing needs two seasons")
+    if method not in ("direct", "counting"):
+        raise ValueError(f"method is 'direct' or 'counting', not {method!r}")
     readings = season_readings(obs, dim, (year, base_year), measure, hours, slots)
-    if method == "joined":
-        both = _joined_swing(readings, slots)
-        top = top_within(
-            both.where(F.col("year") == year), ["Country"], "difference", k, "rank_year"
-        ).drop("year")
-        base = rank_within(
-            both.where(F.col("year") == base_year), ["Country"], "difference", "rank_base"
-        )
-        picked = top.join(base.select("Country", "City", "rank_base"), ["Country", "City"])
-    elif method == "direct":
-        cities = _by_city(readings, slots, {"difference": year, "base": base_year})
-        picked = _pick_small(cities, k) if dim.fits else _pick_large(cities, k)
-    else:
-        raise ValueError(f"method is 'direct' or 'joined', not {method!r}")
+    cities = _by_city(readings, slots, {"difference": year, "base": base_year})
+    picked = _pick_small(cities, k) if dim.fits and method == "direct" else _pick_large(cities, k)
     if rerank_after_join:
         order = Window.partitionBy("Country").orderBy(F.desc("difference"), "City")
         picked = picked.withColumn("rank_year", F.row_number().over(order))

@@ -16,7 +16,7 @@ from cityobs.plans.swing import seasonal_swing
 from cityobs.sources.layout import Layout
 from cityobs.sources.tables import FORMATS, read_table, write_table
 
-#: One pass over the data, or step by step with a shuffle per step; the rows are the same.
+#: The formulation to use, and another one to compare it with; the rows are the same.
 VARIANTS = ("direct", "joined")
 
 MEASURES = ("temperature", "humidity", "pressure")
@@ -39,7 +39,8 @@ def query2(spark: SparkSession, layout: Layout, fmt: str, variant: str = "direct
 
 def query3(spark: SparkSession, layout: Layout, fmt: str, variant: str = "direct") -> DataFrame:
     obs = to_long(_read(spark, layout, "temperature", fmt), "temperature")
-    return seasonal_swing(obs, _read(spark, layout, CITIES, fmt), method=variant)
+    method = "direct" if variant == "direct" else "counting"
+    return seasonal_swing(obs, _read(spark, layout, CITIES, fmt), method=method)
 
 
 QUERIES: Mapping[str, Callable[..., DataFrame]] = {
@@ -62,7 +63,8 @@ def run_matrix(
 
     A run reads, computes and writes its result to ``layout.result(...)``; the time covers all
     three. The log of runs goes to ``layout.run_log(...)`` and its summary, which is returned,
-    to ``layout.stats(...)``. With too few runs for the warm-up, the last run still counts.
+    to ``layout.stats(...)``. The first ``warmup`` runs of a cell never count, so a
+    cell of no more runs than that has no mean.
     """
     log = []
     for fmt in formats:
@@ -76,6 +78,6 @@ def run_matrix(
     millis = int(time.time() * 1000)
     table = spark.createDataFrame(log, RUN_SCHEMA)
     table.write.parquet(layout.run_log(millis))
-    summary = summarize_runs(table, min(warmup, runs - 1)).orderBy("query", "format", "variant")
+    summary = summarize_runs(table, warmup).orderBy("query", "format", "variant")
     write_table(summary, layout.stats(millis), "csv", single_file=True)
     return summary

@@ -69,14 +69,32 @@ def observations(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def measure_tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
-    """The three measures; humidity ends with the year 2000, so that some months lack it."""
-    obs = observations(spark, sf_dir)
-    before = F.lit("2001-01-01 00:00:00").cast("timestamp_ntz")
-    return {
-        "temperature": obs.select("ts", "City", "temperature"),
-        "humidity": obs.where(F.col("ts") < before).select("ts", "City", "humidity"),
-        "pressure": obs.select("ts", "City", "pressure"),
-    }
+    """Two measures of line items and one of orders, which end some months earlier."""
+    obs = observations(spark, sf_dir).select("ts", "City", "temperature", "pressure")
+    return {"temperature": obs, "humidity": order_readings(spark, sf_dir), "pressure": obs}
+
+
+def order_readings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``ts, City, humidity``, one row per order; the customer's nation is the city."""
+    orders = table(spark, sf_dir, "orders")
+    customer = table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey")
+    nation = table(spark, sf_dir, "nation").select("n_nationkey", "n_name")
+    hours = (F.col("o_orderkey") * 5 % 24).cast("int")
+    return (
+        orders.join(customer, F.col("o_custkey") == F.col("c_custkey"))
+        .join(nation, F.col("c_nationkey") == F.col("n_nationkey"))
+        .select(
+            (F.col("o_orderdate") + F.make_dt_interval(hours=hours)).alias("ts"),
+            F.col("n_name").alias("City"),
+            (F.col("o_orderkey") * 31 % 101).cast("double").alias("humidity"),
+        )
+    )
+
+
+def without_base_year(obs: DataFrame) -> DataFrame:
+    """Cities of an even number have no readings before the year 2000."""
+    even = F.substring_index("City", "_", -1).cast("int") % 2 == 0
+    return obs.where(~(even & (F.col("ts") < F.lit("2000-01-02 00:00:00").cast("timestamp_ntz"))))
 
 
 #: Names of the three city columns of a raw table.
@@ -180,6 +198,28 @@ def user_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def delayed_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every event is a file that is delivered 30 days and up to 2 ms later."""
+    events = table(spark, sf_dir, "events")
+    uuid, start = F.col("event_id").cast("string"), millis(F.col("ts"))
+    sides = {
+        "RECEIVE": (uuid, start, F.lit(None).cast("string")),
+        "SEND": (F.lit("sent"), start + 30 * 86_400_000 + F.col("event_id") % 3, uuid),
+    }
+    parts = [
+        events.select(
+            F.lit(kind).alias("event_type"),
+            flow.alias("flow_uuid"),
+            at.alias("event_time_ms"),
+            F.lit(0).cast("long").alias("duration_ms"),
+            attr.alias("attr_uuid"),
+            F.col("event_type").alias("filename"),
+        )
+        for kind, (flow, at, attr) in sides.items()
+    ]
+    return parts[0].unionByName(parts[1])
+
+
 def run_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Events as timed runs: the kind is the query, the hour of day the number of the run."""
     return table(spark, sf_dir, "events").select(

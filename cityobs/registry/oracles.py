@@ -50,14 +50,22 @@ def _stat(measure: str, value: str, rounded: bool = False) -> str:
 
 _MONTH_KEYS = 'CAST(year(local_ts) AS INTEGER) AS "Year", CAST(month(local_ts) AS INTEGER) AS "Month"'
 
-_EARLY = "CASE WHEN ts < TIMESTAMP '2001-01-01' THEN humidity END"
+_BY_TABLE = f"""{_BASE}, hum AS (
+  SELECT o_orderdate + to_hours(CAST((o_orderkey * 5) % 24 AS INTEGER)) AS ts, n_name AS City,
+    CAST((o_orderkey * 31) % 101 AS DOUBLE) AS humidity
+  FROM orders JOIN customer ON o_custkey = c_custkey JOIN nation ON c_nationkey = n_nationkey
+), humloc AS (
+  SELECT humidity, Country, timezone(TimeUTC, timezone('UTC', ts)) AS local_ts FROM hum JOIN dim USING (City)
+), items AS (
+  SELECT {_MONTH_KEYS}, Country, {_stat("temperature", "temperature")}, {_stat("pressure", "pressure")}
+  FROM loc GROUP BY ALL
+), humid AS (
+  SELECT {_MONTH_KEYS}, Country, {_stat("humidity", "humidity")} FROM humloc GROUP BY ALL
+)"""
 
-_STATS_OUTER = f"""{_BASE}
-SELECT {_MONTH_KEYS}, Country, {_stat("temperature", "temperature")}, {_stat("humidity", _EARLY)},
-  {_stat("pressure", "pressure")}
-FROM loc GROUP BY ALL"""
+_STATS_OUTER = f'{_BY_TABLE} SELECT * FROM items FULL JOIN humid USING ("Year", "Month", Country)'
 
-_STATS_INNER = f"SELECT * FROM ({_STATS_OUTER}) WHERE max_humidity IS NOT NULL"
+_STATS_INNER = f'{_BY_TABLE} SELECT * FROM items JOIN humid USING ("Year", "Month", Country)'
 
 _HOURLY_MEANS = """(
   SELECT City, Country, local_ts, ts, avg(temperature) AS temperature, avg(pressure) AS pressure
@@ -197,12 +205,48 @@ WITH deliveries AS (
 SELECT event_type AS filename, strftime(ts, '%Y-%m-%d %H:%M:%S') AS timestamp,
   CAST(late + took AS DOUBLE) / 1000 AS elapsed FROM deliveries"""
 
-_SAME_ROWS = 'CAST(0 AS BIGINT) AS rows_a, CAST(0 AS BIGINT) AS rows_b'
+_LATE = """(SELECT * FROM loc
+  WHERE NOT (CAST(split_part(City, '_', 2) AS INTEGER) % 2 = 0 AND ts < TIMESTAMP '2000-01-02'))"""
+
+
+def _rows(a: int, b: int) -> str:
+    return f"CAST({a} AS BIGINT) AS rows_a, CAST({b} AS BIGINT) AS rows_b"
+
+
+def _placed(sql: str, columns: str, order: str) -> str:
+    return f"SELECT {columns}, CAST(row_number() OVER (ORDER BY {order}) AS INTEGER) AS place FROM ({sql})"
+
+
+_HEADERS = f"""{_RAW}, cells AS (
+  SELECT CAST(ts AS VARCHAR) AS ts, CAST({_valid(_FIRST, 184, 343, True)} AS DOUBLE) AS a,
+    CAST({_valid(_SECOND, 184, 343, True)} AS DOUBLE) AS b, CAST({_valid(_THIRD, 184, 343, True)} AS DOUBLE) AS c,
+    flag <> 'A' AS filled FROM raw WHERE n <> 7 AND n <> 6
+), ways AS (SELECT unnest(['batch', 'stream']) AS way)
+SELECT ts, 'Port A' AS City, a AS temperature, way FROM cells, ways WHERE a IS NOT NULL
+UNION ALL SELECT ts, 'St. B', b, way FROM cells, ways WHERE b IS NOT NULL
+UNION ALL SELECT ts, 'New C', c, way FROM cells, ways WHERE c IS NOT NULL AND NOT filled"""
+
+_CHANGED = """
+WITH items AS (SELECT l_orderkey, l_quantity AS q FROM lineitem),
+  a AS (SELECT l_orderkey, q, count(*) AS n FROM items GROUP BY ALL),
+  b AS (SELECT l_orderkey, CASE WHEN q = 49 THEN 50.0 ELSE q END AS q, count(*) AS n FROM items GROUP BY ALL),
+  differ AS (
+    SELECT l_orderkey, q, coalesce(a.n, 0) AS na, coalesce(b.n, 0) AS nb FROM a FULL JOIN b USING (l_orderkey, q)
+    WHERE coalesce(a.n, 0) <> coalesce(b.n, 0)),
+  left_a AS (
+    SELECT l_orderkey, q, row_number() OVER (PARTITION BY l_orderkey ORDER BY q) AS k
+    FROM (SELECT l_orderkey, q, unnest(range(na - nb)) FROM differ WHERE na > nb)),
+  left_b AS (
+    SELECT l_orderkey, q, row_number() OVER (PARTITION BY l_orderkey ORDER BY q) AS k
+    FROM (SELECT l_orderkey, q, unnest(range(nb - na)) FROM differ WHERE nb > na)),
+  whole AS (SELECT l_orderkey, count(*) AS n FROM items GROUP BY 1)
+SELECT l_orderkey, n AS rows_a, n AS rows_b, left_a.q AS l_quantity_a, left_b.q AS l_quantity_b
+FROM left_a FULL JOIN left_b USING (l_orderkey, k) JOIN whole USING (l_orderkey)"""
 
 ORACLES: dict[str, str] = {
     "q3_swing": _swing("loc"),
     "q3_swing_joined": _swing("loc"),
-    "q3_swing_rerank": _swing("loc", rerank=True),
+    "q3_swing_rerank": _swing(_LATE, rerank=True),
     "q3_swing_large_dimension": _swing("loc"),
     "q3_swing_wide": _swing(_HOURLY_MEANS, city="spaced", digits=4),
     "q1_sunny": _sunny("loc"),
@@ -281,9 +325,26 @@ FROM (SELECT a.user_id, epoch_us(p.ts) // 1000 - epoch_us(a.ts) // 1000 AS elaps
 SELECT event_type AS query, 'parquet' AS format, 'direct' AS variant,
   CAST(count(*) AS INTEGER) AS runs, round(avg(value), 4) AS avg, round(stddev_pop(value), 4) AS stddev
 FROM events WHERE hour(ts) + 1 > 2 GROUP BY ALL""",
-    "parity_q1": f'SELECT * , {_SAME_ROWS} FROM ({_sunny("loc")}) WHERE false',
-    "parity_q2": f'SELECT "Year", "Month", Country, {_SAME_ROWS} FROM ({_STATS_OUTER}) WHERE false',
-    "parity_q3": f'SELECT Country, City, {_SAME_ROWS} FROM ({_swing("loc")}) WHERE false',
+    "parity_q1": f'SELECT *, {_rows(1, 0)} FROM ({_sunny("loc")}) WHERE "Year" % 2 = 0',
+    "parity_q2": f'SELECT "Year", "Month", Country, {_rows(1, 1)} FROM ({_STATS_OUTER}) WHERE "Month" = 6 AND avg_pressure IS NOT NULL',
+    "parity_q3": f'SELECT Country, City, {_rows(1, 1)} FROM ({_swing("loc")}) WHERE rank_year = 1',
+    "q1_sunny_order": _placed(_sunny("loc"), "*", '"Year", City'),
+    "q2_stats_order": _placed(_STATS_OUTER, '"Year", "Month", Country', '"Year", "Month", Country'),
+    "q3_swing_order": _placed(_swing("loc"), "*", "Country DESC, difference DESC, City"),
+    "local_time_zoned": _LOCAL_TIME,
+    "csv_headers_differ": _HEADERS,
+    "latency_report_list": f"""
+SELECT filename, round(avg(elapsed), 4) AS avg, round(stddev_pop(elapsed), 4) AS stddev,
+  count(*) AS count FROM ({_ELAPSED}) GROUP BY ALL""",
+    "elapsed_of_users": """
+SELECT CAST(a.user_id AS VARCHAR) AS filename, count(*) AS count,
+  CAST(sum(epoch_us(p.ts) // 1000 - epoch_us(a.ts) // 1000) AS BIGINT) AS total_ms
+FROM events a JOIN events p ON a.user_id = p.user_id
+WHERE a.event_type = 'view' AND p.event_type = 'purchase' GROUP BY ALL""",
+    "ingest_latency_long_delays": """
+SELECT event_type AS filename, count(*) AS count, round(2592000 + avg(event_id % 3) / 1000, 6) AS avg,
+  round(stddev_pop((event_id % 3) / 1000), 6) AS stddev FROM events GROUP BY ALL""",
+    "parity_repeated_keys": _CHANGED,
     "parity_report": f"""{_BASE}, a AS (
   SELECT City, CAST(ts AS DATE) AS day, avg(pressure) AS mean FROM obs GROUP BY ALL
 ), b AS (

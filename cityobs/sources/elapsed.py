@@ -7,6 +7,9 @@ from pyspark.sql import DataFrame, SparkSession
 from cityobs.operators.latency import ELAPSED_SCHEMA
 from cityobs.sources.tables import write_table
 
+# Fixed value: header of the latency report.
+REPORT_HEADER = ("filename", "avg", "stddev", "count")
+
 
 def read_elapsed(spark: SparkSession, path: str, json_list: bool = False) -> DataFrame:
     """Records ``filename, timestamp, elapsed``.
@@ -22,5 +25,5 @@ def write_elapsed(records: DataFrame, path: str, mode: str = "errorifexists") ->
 
 
 def write_latency(report: DataFrame, path: str, mode: str = "errorifexists") -> None:
-    """Report with the header ``filename,avg,stddev,count``."""
-    write_table(report.select("filename", "avg", "stddev", "count"), path, "csv", mode=mode)
+    """Report with its fixed header."""
+    write_table(report.select(*REPORT_HEADER), path, "csv", mode=mode)

@@ -1,3 +1,3 @@
-from cityobs.streaming.arrivals import arriving_rows, clean_arrivals
+from cityobs.streaming.arrivals import arriving_rows, clean_arrivals, clean_arriving_files, read_cleaned
 
-__all__ = ["arriving_rows", "clean_arrivals"]
+__all__ = ["arriving_rows", "clean_arrivals", "clean_arriving_files", "read_cleaned"]
