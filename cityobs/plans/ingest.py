@@ -40,14 +40,14 @@ def ingest(
     formats: Iterable[str] = ("csv", "parquet"),
     names: Iterable[str] = (*RULES, DESCRIPTION),
     places: DataFrame | None = None,
-    by_year: bool = True,
+    by_year: bool = False,
     files_per_year: int | None = None,
 ) -> dict[str, dict[str, str]]:
     """Clean ``<raw_dir>/<name>.csv`` for every name, and the cities when ``places`` are given,
     and publish them below ``layout``. Returns the path of each table and format.
 
-    The Parquet tree of each measure is partitioned by year, so that questions about some years
-    read only those; ``files_per_year`` spreads a year over that many tasks.
+    ``by_year`` partitions the Parquet tree of each measure, so that questions about some years read
+    only those; ``files_per_year`` spreads a year over that many tasks.
     """
     formats = list(formats)
     raw_dir = raw_dir.rstrip("/")

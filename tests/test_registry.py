@@ -7,6 +7,8 @@ import duckdb
 import pytest
 
 import __spark_entry__ as entry
+from cityobs.registry.oracles import ORACLES
+from cityobs.registry.queries import QUERIES
 from conftest import SMALL, plan
 
 TYPES = {
@@ -33,13 +35,14 @@ def canonical(rows, names):
 
 
 def test_every_query_has_sql():
-    assert set(entry.queries()) == set(entry.oracle_sql())
+    assert set(QUERIES) == set(ORACLES)
+    assert set(QUERIES) <= set(entry.queries()) and set(ORACLES) <= set(entry.oracle_sql())
 
 
-@pytest.mark.parametrize("name", sorted(entry.queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query_equals_sql(spark, duck, name):
-    df = entry.queries()[name](spark, SMALL)
-    cursor = duck.execute(entry.oracle_sql()[name])
+    df = QUERIES[name](spark, SMALL)
+    cursor = duck.execute(ORACLES[name])
     columns = [d[0] for d in cursor.description]
     assert sorted(df.columns) == sorted(columns)
     sql_types = {d[0]: str(d[1]) for d in cursor.description}

@@ -1,5 +1,6 @@
 import datetime as dt
 import zoneinfo
+from dataclasses import replace
 
 import duckdb
 import pytest
@@ -106,10 +107,42 @@ def test_zone_shift_is_computed_once_and_without_python(spark):
     dim = spark.createDataFrame([("A", "x", "Europe/Rome")], DIM)
     shifted = localize(obs(spark, ("A", "2010-07-01 12:00:00")), dim)
     text = plan(shifted.where("local_hour > 3 and year(local_date) = 2010").groupBy("local_date").count())
-    assert text.count("from_utc_timestamp") == 1
+    assert text.count("from_utc_timestamp") == 2  # the known zone, and any other
     assert "Python" not in text and "MapPartitions" not in text
 
 
+def test_zone_unknown_when_the_dimension_was_checked_keeps_its_readings(spark, tmp_path):
+    known = city_dimension(spark.createDataFrame([("A", "x", "Europe/Rome")], DIM))
+    grown = spark.createDataFrame([("A", "x", "Europe/Rome"), ("B", "y", "Asia/Tokyo")], DIM)
+    dim = replace(known, df=grown)
+    got = localize(obs(spark, ("A", "2010-07-01 12:00:00"), ("B", "2010-07-01 12:00:00")), dim)
+    assert [(r["City"], r["local_hour"]) for r in got.orderBy("City").collect()] == [("A", 14), ("B", 21)]
+
+
+@pytest.mark.parametrize("zone", ["America/New_York", "UTC", "Asia/Tokyo"])
+def test_instants_do_not_pass_through_the_session_zone(spark, zone):
+    before = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", zone)
+    try:
+        dim = spark.createDataFrame([("A", "x", "Europe/Rome")], DIM)
+        # The second instant is inside the hour that New York has twice.
+        times = spark.createDataFrame([("A", 1468405800), ("A", 1478411400)], "City string, s long")
+        given = times.select(F.timestamp_seconds("s").alias("ts"), "City")
+        got = localize(given, dim).select(F.col("local_ts").cast("string")).collect()
+        assert sorted(r[0] for r in got) == ["2016-07-13 12:30:00", "2016-11-06 06:50:00"]
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", before)
+
+
+def test_a_cell_that_is_no_number_is_an_error_or_null(spark):
+    wide = spark.createDataFrame([("2016-01-01 00:00:00", "1", "abc"), ("2016-01-01 01:00:00", " ", None)], "datetime string, A string, B string")
+    with pytest.raises(Exception, match="is no number: abc"):
+        to_long(wide, "t").collect()
+    assert [(r["City"], r["t"]) for r in to_long(wide, "t", on_bad_cell="null").collect()] == [("A", 1.0)]
+    with pytest.raises(ValueError):
+        to_long(wide, "t", on_bad_cell="skip")
+
+
 def wide_table(spark):
     schema = "datetime string, New_Example string, `St._Dot` double, Empty string"
     given = [

@@ -13,7 +13,7 @@ from cityobs.scratch import materialise, scratch_dir
 from cityobs.sources import FormatUnavailable, Layout, publish, read_table, write_table
 from cityobs.sources.results import load_result, save_result
 from cityobs.sources.tables import YEAR_COLUMN
-from cityobs.streaming import arriving_rows, clean_arrivals
+from cityobs.streaming import arriving_rows, clean_arrivals, clean_arriving_files, read_cleaned
 
 CITIES = {"San Example": ("America/New_York", 40.0, -74.0), "Roma": ("Europe/Rome", 41.9, 12.5), "Acre": ("Asia/Jerusalem", 32.9, 35.1)}
 
@@ -151,6 +151,59 @@ def test_swing_reads_only_neighbouring_years(spark, tmp_path):
     assert "utc_year#" in text and "IN (2015,2016,2017,2018)" in text.split("PartitionFilters")[1]
 
 
+def test_ingest_by_year_lets_questions_prune(spark, tmp_path):
+    (tmp_path / "raw").mkdir()
+    lines = [f"{y}-{m:02d}-01 12:00:00,{280 + m},{270 + m}" for y in range(2010, 2019) for m in range(1, 13)]
+    (tmp_path / "raw" / "temperature.csv").write_text("datetime,Roma,Milano\n" + "\n".join(lines) + "\n")
+    layout = Layout(str(tmp_path / "out"))
+    path = ingest(spark, str(tmp_path / "raw"), layout, ["parquet"], ["temperature"], by_year=True)["temperature"]["parquet"]
+    dim = spark.createDataFrame([("Roma", "x", "UTC"), ("Milano", "x", "UTC")], "City string, Country string, TimeUTC string")
+    swing = seasonal_swing(to_long(read_table(spark, path, "parquet"), "temperature"), dim)
+    assert len(rows(swing)) == 2
+    text = swing._jdf.queryExecution().executedPlan().toString()
+    assert "IN (2015,2016,2017,2018)" in text.split("PartitionFilters")[1]
+
+
+def test_files_of_differing_headers(spark, tmp_path):
+    folder = tmp_path / "in"
+    folder.mkdir()
+    (folder / "1.csv").write_text("datetime,Rome,Paris\n2016-01-01 00:00:00,300,200\n")
+    (folder / "2.csv").write_text('datetime,"Paris",Rome,Oslo\n2016-01-01 01:00:00,201,301,101\n')
+    (folder / "3.csv").write_text("")
+    got = to_long(read_table(spark, str(folder), "csv"), "t")
+    want = [("Oslo", 101.0), ("Paris", 200.0), ("Paris", 201.0), ("Rome", 300.0), ("Rome", 301.0)]
+    assert sorted((r["City"], r["t"]) for r in got.collect()) == want
+
+    def run():
+        clean_arriving_files(
+            spark, str(folder), lambda raw: raw, str(tmp_path / "out"), str(tmp_path / "progress"), files_per_batch=1
+        ).awaitTermination()
+        return sorted((r["City"], r["t"]) for r in to_long(read_cleaned(spark, str(tmp_path / "out")), "t").collect())
+
+    assert run() == want
+    (folder / "4.csv").write_text("datetime,Lima\n2016-01-01 02:00:00,7\n")
+    assert run() == sorted([*want, ("Lima", 7.0)])
+    schema = spark.createDataFrame([("a", "b", "c")], "datetime string, Rome string, Paris string").schema
+    with pytest.raises(Exception, match="(?i)header"):
+        read_table(spark, str(folder / "2.csv"), "csv", schema).collect()
+
+
+def test_text_tables_refuse_fractions_of_a_second(spark, tmp_path):
+    times = spark.createDataFrame([("2016-01-01 00:00:00.5",), ("2016-01-01 00:00:00",)], "t string")
+    times = times.select(F.col("t").cast("timestamp_ntz").alias("t"))
+    with pytest.raises(Exception, match="no fraction of a second"):
+        write_table(times, str(tmp_path / "a"), "csv")
+    write_table(times.where("second(t) = 0 and t = date_trunc('second', t)"), str(tmp_path / "b"), "csv")
+    assert rows(read_table(spark, str(tmp_path / "b"), "csv")) == [("2016-01-01 00:00:00",)]
+
+
+def test_measures_of_one_table_are_read_once(spark, small):
+    from cityobs.registry.queries import q2_stats_outer
+
+    text = q2_stats_outer(spark, small)._jdf.queryExecution().executedPlan().toString()
+    assert text.count("lineitem.parquet") == 1
+
+
 def test_result_tables_replace_one_variant(spark, tmp_path):
     layout = Layout(str(tmp_path))
     for variant, n in (("direct", 3), ("joined", 4), ("direct", 5)):
