@@ -6,6 +6,8 @@ import public_tokenizers
 import pytest
 import tiktoken
 
+from llm_cases import odd, table  # noqa: F401
+
 from cityobs.llm import bpe
 
 PATH = public_tokenizers.path("byte_bpe_50k.json")

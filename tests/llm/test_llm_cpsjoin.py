@@ -3,6 +3,8 @@ import random
 import numpy as np
 import pytest
 
+from llm_cases import make_prose, odd, table  # noqa: F401
+
 from cityobs.llm import cpsjoin
 
 
@@ -65,15 +67,28 @@ def test_components_equal_brute_force(table, odd, make_prose, monkeypatch, small
     assert found(table(rows)) == expected(rows)
 
 
-def test_a_dense_node_is_compared_until_nothing_is_left(table, make_prose, monkeypatch):
+def test_dense_groups_are_joined_exactly(table, make_prose, monkeypatch):
     monkeypatch.setattr(cpsjoin, "SMALL", 2)
     monkeypatch.setattr(cpsjoin, "DEPTH", 1)
-    monkeypatch.setattr(cpsjoin, "CENTRES", 2)
-    texts = near_copies(8, 60, 25, 8, make_prose)
+    texts = [t for k in range(3) for t in near_copies(k, 60 + 40 * k, 25, 8, make_prose)]
     rows = list(enumerate(texts))
     assert found(table(rows)) == expected(rows)
 
 
+def test_dense_pairs_lose_no_link_between_classes(spark, table, make_prose):
+    texts = near_copies(3, 50, 30, 4, make_prose)
+    rows = list(enumerate(texts))
+    sets = sets_of(rows)
+    linked = {(b, a) for a in range(30) for b in range(a) if 100 * len(sets[a] & sets[b]) >= 85 * len(sets[a] | sets[b])}
+    docs = table(rows).selectExpr("doc_id AS id", "text")
+    none = spark.createDataFrame([], "id long, label long")
+    got = {(r["a"], r["b"]) for r in cpsjoin._dense_pairs(docs.select("id"), none, docs).collect()}
+    assert linked <= got
+    halves = spark.createDataFrame([(i, i % 2) for i in range(30)], "id long, label long")
+    got = {(r["a"], r["b"]) for r in cpsjoin._dense_pairs(docs.select("id"), halves, docs).collect()}
+    assert {(a, b) for a, b in linked if a % 2 != b % 2} <= got and all(a % 2 != b % 2 for a, b in got)
+
+
 def test_pairs_at_the_threshold_are_met():
     """Share of pairs of similarity 0.85 that no tree brings together."""
     pick = np.random.default_rng(4)

@@ -2,6 +2,8 @@ import re
 
 import pytest
 
+from llm_cases import make_prose, odd, table  # noqa: F401
+
 from cityobs.llm import decontaminate
 
 WORD = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")

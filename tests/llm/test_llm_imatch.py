@@ -4,6 +4,8 @@ import random
 import numpy as np
 import pytest
 
+from llm_cases import make_prose, odd, table  # noqa: F401
+
 from cityobs.llm import imatch
 
 

@@ -6,6 +6,8 @@ import public_tokenizers
 import pytest
 from pyspark.sql import functions as F
 
+from llm_cases import make_prose, odd, table  # noqa: F401
+
 from cityobs.llm import lattice, training
 
 PATH = public_tokenizers.path("piece_bpe_32k.model")

@@ -2,6 +2,8 @@ import random
 import re
 from collections import defaultdict
 
+from llm_cases import odd, table  # noqa: F401
+
 from cityobs.llm import pii
 
 PLAIN = {

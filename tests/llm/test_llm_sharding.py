@@ -4,6 +4,8 @@ from collections import Counter, defaultdict
 import pytest
 from pyspark.sql import functions as F
 
+from llm_cases import odd, table  # noqa: F401
+
 from cityobs.llm import sharding
 
 

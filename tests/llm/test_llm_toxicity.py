@@ -3,6 +3,8 @@ import random
 import numpy as np
 import pytest
 
+from llm_cases import odd, table  # noqa: F401
+
 from cityobs.llm import toxicity
 
 
