@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from cityobs.operators.joins import checked_join
+from cityobs.scratch import materialise
 
 
 def rank_within(
@@ -13,12 +14,38 @@ def rank_within(
 ) -> DataFrame:
     """Place of each row in its group, largest ``value`` first, equal values by ``tie``.
 
-    A null value has no place.
+    A null value has no place. A group is sorted in one task; ``rank_spread`` is for groups of any
+    size.
     """
     order = Window.partitionBy(*group).orderBy(F.desc_nulls_last(value), tie)
     return df.withColumn(name, F.when(F.col(value).isNotNull(), F.row_number().over(order)))
 
 
+def rank_spread(
+    df: DataFrame, group: list[str], value: str, name: str, tie: str = "City"
+) -> DataFrame:
+    """As ``rank_within``, for groups of any size.
+
+    Rows are dealt to tasks by ranges of group, value and tie, so a large group lies in many tasks.
+    A row's place is the rows of its group in earlier ranges, which are counted, and those before it
+    in its own.
+    """
+    order = [F.desc_nulls_last(value), F.col(tie)]
+    dealt = materialise(
+        df.repartitionByRange(*group, *order).withColumn("__range", F.spark_partition_id()), "ranges"
+    )
+    valued = dealt.where(F.col(value).isNotNull())
+    key = F.struct(*group, "__range")
+    counts = valued.groupBy(*group, "__range").agg(F.count("*").alias("__n"))
+    earlier = Window.partitionBy(*group).orderBy("__range").rowsBetween(Window.unboundedPreceding, -1)
+    before = counts.select(key.alias("__key"), F.coalesce(F.sum("__n").over(earlier), F.lit(0)).alias("__before"))
+    own = F.row_number().over(Window.partitionBy(*group, "__range").orderBy(*order))
+    placed = valued.withColumn("__own", own).withColumn("__key", key).join(before, "__key")
+    found = placed.select(*df.columns, (F.col("__before") + F.col("__own")).cast("int").alias(name))
+    without = dealt.where(F.col(value).isNull()).select(*df.columns, F.lit(None).cast("int").alias(name))
+    return found.unionByName(without)
+
+
 def top_within(
     df: DataFrame, group: list[str], value: str, k: int, name: str = "place", tie: str = "City"
 ) -> DataFrame:

@@ -280,6 +280,9 @@ SELECT c_nationkey, c_custkey, c_acctbal, CAST(place AS INTEGER) AS place FROM (
   SELECT *, row_number() OVER (PARTITION BY c_nationkey ORDER BY c_acctbal DESC, c_custkey) AS place,
     row_number() OVER (PARTITION BY c_nationkey ORDER BY c_custkey DESC) AS pick
   FROM customer) WHERE pick <= 3""",
+    "rank_customers": """
+SELECT c_nationkey, c_custkey, c_acctbal,
+  CAST(row_number() OVER (PARTITION BY c_nationkey ORDER BY c_acctbal DESC, c_custkey) AS INTEGER) AS place FROM customer""",
     "rank_cities": f"""{_swings("loc")}
 SELECT Country, City, y AS year, CAST(place AS INTEGER) AS place FROM ranked WHERE y = 1999""",
     "to_long_identity": f"""{_BASE}

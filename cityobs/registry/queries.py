@@ -14,7 +14,7 @@ from cityobs.operators.dimension import city_dimension, localize
 from cityobs.operators.geo import nearest_place
 from cityobs.operators.latency import ingest_latency, latency_by_file, pair_events
 from cityobs.operators.parity import TOLERANCE, parity
-from cityobs.operators.ranking import rank_of_picks, rank_within, top_within
+from cityobs.operators.ranking import rank_of_picks, rank_spread, rank_within, top_within
 from cityobs.operators.reshape import to_long, to_wide
 from cityobs.operators.runs import summarize_runs
 from cityobs.plans.ingest import clean_cities
@@ -232,6 +232,12 @@ def rank_of_top3(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+def rank_customers(spark: SparkSession, sf: str) -> DataFrame:
+    """Place of every customer in its nation by balance, a nation being spread over tasks."""
+    customers = data.table(spark, sf, "customer").select("c_nationkey", "c_custkey", "c_acctbal")
+    return rank_spread(customers, ["c_nationkey"], "c_acctbal", "place", tie="c_custkey")
+
+
 def rank_cities(spark: SparkSession, sf: str) -> DataFrame:
     obs, dim = data.observations(spark, sf), data.cities(spark, sf)
     swings = yearly_swing(season_readings(obs, dim, (1999,)))
@@ -528,6 +534,7 @@ QUERIES: dict[str, Query] = {
         yearly_swings,
         top3_per_country,
         rank_of_top3,
+        rank_customers,
         rank_cities,
         to_long_identity,
         to_long_some_cities,

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from cityobs.operators.dimension import city_dimension
 from cityobs.operators.parity import parity
+from cityobs.operators.ranking import rank_of_picks, rank_spread, rank_within
 from cityobs.plans import monthly_stats, seasonal_swing, sunny_periods
 
 DIM = "City string, Country string, TimeUTC string"
@@ -171,3 +172,22 @@ def test_parity_finds_every_kind_of_difference(spark):
     assert "Join" not in plan(found)
     with pytest.raises(ValueError):
         parity(a, b.drop("s"), ["k"])
+
+
+def test_spread_ranks_equal_sorted_ones(spark):
+    n = F.col("id")
+    given = spark.range(3000).select(
+        F.when(n % 3 > 0, "big").when(n % 2 == 0, "small").alias("g"),
+        F.when(n % 17 > 0, (n * 7919 % 101).cast("double")).alias("v"),
+        n.cast("string").alias("City"),
+    )
+    got = rank_spread(given.repartition(5), ["g"], "v", "place")
+    assert rows(got) == rows(rank_within(given, ["g"], "v", "place"))
+    assert rank_spread(given.limit(0), ["g"], "v", "place").count() == 0
+
+
+def test_places_of_picks_in_a_null_group(spark):
+    given = spark.createDataFrame([(None, 3.0, "a"), (None, 2.0, "b"), ("x", 1.0, "c")], "g string, v double, City string")
+    for bound in (None, 3, 10**9):
+        got = rank_of_picks(given, given, ["g"], "v", "place", picks_bound=bound)
+        assert rows(got) == rows(rank_within(given, ["g"], "v", "place"))
