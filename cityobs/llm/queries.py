@@ -9,9 +9,11 @@ from pyspark.sql import functions as F
 
 from cityobs.llm import bpe, cpsjoin, decontaminate, imatch, lattice, lines, pii, quality, sharding, toxicity, training
 from cityobs.llm.oracles import ORACLES
+from cityobs.llm.ship import ship
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    ship(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from cityobs.llm import bpe, cpsjoin, decontaminate, lines, quality, training
 from cityobs.llm.queries import vocabulary
+from cityobs.llm.ship import ship
 from cityobs.scratch import materialise
 
 
@@ -20,6 +21,7 @@ def quality_filter(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
     It learns from the labels whose fold is not held out. A document goes if its score of being
     good is below one half; an empty text is judged like any other.
     """
+    ship(spark)
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
     samples = training.sample(docs, labels, "quality", training.fold(F.col("doc_id"), 3) != 1)
     scored = quality.score(docs, quality.fit(samples), into="__quality")
@@ -36,6 +38,7 @@ def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The document of the smallest id of every group of near duplicates."""
+    ship(spark)
     gone = cpsjoin.near_duplicates(docs).where(~F.col("kept")).select("doc_id").distinct()
     return docs.join(gone, "doc_id", "left_anti").select(*docs.columns)
 
@@ -48,6 +51,7 @@ def decontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 def byte_bpe(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Ids of each document's text, and whether they decode to its bytes."""
+    ship(spark)
     path = vocabulary("byte_bpe_50k.json")
     raw = F.coalesce("text", F.lit("")).cast("binary")
     plain = docs.withColumn("text_sha256", F.sha2(raw, 256))
