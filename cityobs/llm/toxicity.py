@@ -30,13 +30,13 @@ from cityobs.llm.quality import _logistic, _logistic_fit
 
 WORD = re.compile(r"\w+")
 #: Occurrences in the training texts that a word, or a beginning, needs to be judged itself.
-MIN_COUNT = 6
+MIN_COUNT = 8
 #: Lengths of the beginnings that stand for rarer words, longest first.
 BEGINNINGS = (7, 6, 5, 4)
 #: Standard deviations from zero at which log-odds count nothing.
-DOUBT = 2.5
+DOUBT = 2.0
 #: Total of the Dirichlet prior's counts.
-PRIOR = 2000.0
+PRIOR = 500.0
 #: Chance of the best segment of a clean text at which a segment is reported.
 SIGNIFICANCE = 0.05
 #: Words whose scores a Python worker remembers.
