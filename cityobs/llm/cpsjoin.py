@@ -6,13 +6,15 @@ node picks one of the minwise coordinates, sometimes a second one (1 / 0.85 in t
 pair at the threshold keeps one common path in the mean at any depth), and a document goes to the
 child of its value there. Nodes of few documents are compared exhaustively, larger ones are dealt
 again. Independent trees are repeated until a pair at the threshold is missed by all of them with a
-chance below one in a million (one in ten thousand for pairs that only part at the greatest depth).
+chance below one in a million.
 
 What a node finds is compared by 128-bit sketches first, then on the full sets. To keep work linear
 in groups of near copies, every document is first confirmed against the smallest id of its nodes;
-other pairs are confirmed only between documents that this has not brought together. A node that
-is still large at the greatest depth is dense; there every document outside its largest class is
-compared with all others, a few at a time, until none is left.
+other pairs are confirmed only between documents that this has not brought together. Documents of
+nodes that are still large at the greatest depth lie in dense groups, where comparing everything
+would be quadratic. Among them an exact join finds the rest: shingles are ordered by rarity, two sets
+that are linked share one of their rarest shingles early enough in both for the overlap that they
+need, and only documents of different classes are paired.
 
 Lower-cased are A to Z; words are runs of anything but ASCII white space. Defined cases: a text
 without words (or null) has an empty set and is linked with nothing; fewer words than five are one
@@ -28,7 +30,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from cityobs.scratch import materialise
@@ -44,9 +46,9 @@ EQUAL_BITS = 100
 #: Documents of a node that are compared exhaustively.
 SMALL = 16
 #: Levels of a tree.
-DEPTH = 6
-#: Documents that one task compares with one centre, and centres of a dense node in one round.
-CHUNK, CENTRES = 500, 16
+DEPTH = 3
+#: Documents that one task compares with one centre.
+CHUNK = 500
 #: Bits of the filter by which texts are read for confirmation.
 FILTER_BITS = 1 << 23
 
@@ -191,6 +193,25 @@ def _slots(ids: DataFrame) -> bytes:
     return bytes(out)
 
 
+def _sets(docs: DataFrame, ids: DataFrame) -> DataFrame:
+    """``id`` and ``set`` (bytes of its hashes) of the texts that a filter of ``ids`` lets through."""
+    wanted = _slots(ids)
+
+    def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        bits = np.frombuffer(wanted, np.uint8)
+        for batch in batches:
+            slots = batch.column(2).to_numpy(zero_copy_only=False)
+            at = np.flatnonzero(bits[slots >> 3] >> (slots & 7) & 1)
+            for start in range(0, len(at), 1000):
+                some = pa.array(at[start : start + 1000])
+                sets = [shingles(words(t)).tobytes() for t in batch.column(1).take(some).to_pylist()]
+                yield pa.RecordBatch.from_arrays([batch.column(0).take(some), pa.array(sets, pa.binary())], names=["id", "set"])
+
+    slot = F.pmod(F.xxhash64("id"), F.lit(FILTER_BITS))
+    kind = docs.schema["id"].dataType.simpleString()
+    return docs.select("id", "text", slot.alias("slot")).mapInArrow(read, f"id {kind}, set binary")
+
+
 def confirm(pairs: DataFrame, docs: DataFrame) -> DataFrame:
     """The pairs ``a``, ``b`` that are links on their full sets.
 
@@ -212,18 +233,6 @@ def confirm(pairs: DataFrame, docs: DataFrame) -> DataFrame:
         ),
         "join-asked",
     )
-    wanted = _slots(asked)
-
-    def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bits = np.frombuffer(wanted, np.uint8)
-        for batch in batches:
-            slots = batch.column(2).to_numpy(zero_copy_only=False)
-            at = np.flatnonzero(bits[slots >> 3] >> (slots & 7) & 1)
-            for start in range(0, len(at), 1000):
-                some = pa.array(at[start : start + 1000])
-                sets = [shingles(words(t)).tobytes() for t in batch.column(1).take(some).to_pylist()]
-                yield pa.RecordBatch.from_arrays([batch.column(0).take(some), pa.array(sets, pa.binary())], names=["id", "set"])
-
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         at, own = None, None
         for batch in batches:
@@ -240,9 +249,8 @@ def confirm(pairs: DataFrame, docs: DataFrame) -> DataFrame:
             kind = batch.column(0).type
             yield pa.RecordBatch.from_arrays([pa.array(a, kind), pa.array(b, kind)], names=["a", "b"])
 
-    slot = F.pmod(F.xxhash64("id"), F.lit(FILTER_BITS))
     kind = docs.schema["id"].dataType.simpleString()
-    sets = docs.select("id", "text", slot.alias("slot")).mapInArrow(read, f"id {kind}, set binary")
+    sets = _sets(docs, asked)
     return (
         asked.join(sets, "id")
         .select("a", "part", "centre", "id", "set")
@@ -309,7 +317,7 @@ def link(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     own = seen.where(F.col("n") > 0).join(reps.select(F.col("rep").alias("id")).distinct(), "id", "left_semi").dropDuplicates(["id", "key"])
     single = materialise(own.select("id", "n", "b0", "b1", "nodes", "values"), "class-sketches")
     rows = single.select(F.explode("nodes").alias("node"), "id", "n", "b0", "b1")
-    vectors = single.select("id", "values")
+    vectors = None
     stars, pairs, dense = [], [], None
     for level in range(1, DEPTH + 1):
         least = F.min(F.struct("id", "n", "b0", "b1")).alias("c")
@@ -324,6 +332,9 @@ def link(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
         elif large.isEmpty():
             break
         else:
+            if vectors is None:
+                few = large.select("id").distinct()
+                vectors = materialise(single.select("id", "values").join(few, "id", "left_semi"), "vectors")
             rows = _deeper(large, vectors)
     texts = docs.select("id", "text")
     star = materialise(_union(stars).distinct(), "star-pairs")
@@ -332,7 +343,9 @@ def link(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     if not rest.isEmpty():
         labels = _merge(labels, materialise(confirm(rest, texts), "other-links"))
     if dense is not None and not dense.isEmpty():
-        labels = _dense(dense, labels, texts)
+        found = materialise(_dense_pairs(materialise(dense.select("id").distinct(), "dense"), labels, texts), "dense-pairs")
+        if not found.isEmpty():
+            labels = _merge(labels, materialise(confirm(found, texts), "dense-links"))
     return members, labels
 
 
@@ -343,31 +356,51 @@ def _union(frames: list[DataFrame]) -> DataFrame:
     return out
 
 
-def _dense(nodes: DataFrame, labels: DataFrame, texts: DataFrame) -> DataFrame:
-    """Labels after comparing, in nodes that stayed large, each document outside the largest class with all."""
-    done = None
-    while True:
-        at = _labelled(nodes, labels, "id", "label")
-        classes = at.groupBy("node", "label").agg(F.count("*").alias("n"))
-        main = classes.groupBy("node").agg(F.max(F.struct("n", "label")).alias("m"), F.count("*").alias("classes"))
-        open_ = main.where(F.col("classes") > 1).select("node", F.col("m.label").alias("main"))
-        outside = at.join(open_, "node").where(F.col("label") != F.col("main"))
-        if done is not None:
-            outside = outside.join(done, ["node", "id"], "left_anti")
-        pick = F.slice(F.sort_array(F.collect_set(F.struct("id", "n", "b0", "b1", "label"))), 1, CENTRES)
-        chunk = F.pmod(F.xxhash64("id"), F.lit(64)).alias("chunk")
-        some = outside.groupBy("node", chunk).agg(F.min(F.struct("id", "n", "b0", "b1", "label")).alias("c"))
-        centres = materialise(
-            some.select("node", "c.*").groupBy("node").agg(pick.alias("cs")).select("node", F.explode("cs").alias("c")), "dense-centres"
-        )
-        if centres.isEmpty():
-            return labels
-        now = centres.select("node", F.col("c.id").alias("id"))
-        done = materialise(now if done is None else done.unionByName(now), "dense-done")
-        met = at.join(centres, "node").where((F.col("label") != F.col("c.label")) & (F.col("id") != F.col("c.id")))
-        flat = met.select("id", "n", "b0", "b1", *(F.col(f"c.{x}").alias(f"c_{x}") for x in ("id", "n", "b0", "b1")))
-        found = flat.where(_close("", "c_")).select(F.col("c_id").alias("a"), F.col("id").alias("b")).distinct()
-        labels = _merge(labels, materialise(confirm(materialise(found, "dense-pairs"), texts), "dense-links"))
+def _tokens(sets: DataFrame) -> DataFrame:
+    """``id``, ``n`` and each ``token`` of sets."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for k, blob in enumerate(batch.column(1).to_pylist()):
+                found = np.frombuffer(blob, np.int64)
+                if not len(found):
+                    continue
+                ids = batch.column(0).take(pa.array(np.full(len(found), k)))
+                sizes = pa.array(np.full(len(found), len(found)), pa.int64())
+                yield pa.RecordBatch.from_arrays([ids, sizes, pa.array(found)], names=["id", "n", "token"])
+
+    kind = sets.schema["id"].dataType.simpleString()
+    return sets.mapInArrow(run, f"id {kind}, n long, token long")
+
+
+def _dense_pairs(ids: DataFrame, labels: DataFrame, texts: DataFrame) -> DataFrame:
+    """Pairs of documents of different classes that may be linked, by an exact prefix filter.
+
+    With shingles in the order of their rarity, sets of sizes m and n that need k in common hold
+    their first common one no later than leaves k in both. In each shingle's group only documents
+    outside its largest class are paired, so a group of one class makes no pair.
+    """
+    sets = _sets(texts, ids).join(ids, "id", "left_semi")
+    tokens = materialise(_tokens(sets), "dense-tokens").distinct()
+    counts = tokens.groupBy("token").agg(F.count("*").alias("held"))
+    order = Window.partitionBy("id").orderBy("held", "token")
+    ranked = tokens.join(counts, "token").withColumn("pos", F.row_number().over(order))
+    longest = F.col("n") - F.ceil(F.col("n") * PERCENT / 100) + 1
+    first = ranked.where((F.col("pos") <= longest) & (F.col("held") > 1)).select("token", "id", "n", "pos")
+    rows = materialise(_labelled(first, labels, "id", "label"), "dense-prefixes")
+    classes = rows.groupBy("token", "label").agg(F.count("*").alias("size"))
+    main = classes.groupBy("token").agg(F.max(F.struct("size", "label"))["label"].alias("main"), F.count("*").alias("classes"))
+    outside = (
+        rows.join(main.where(F.col("classes") > 1).select("token", "main"), "token")
+        .where(F.col("label") != F.col("main"))
+        .select("token", *(F.col(c).alias(f"c_{c}") for c in ("id", "n", "pos", "label")))
+    )
+    both = F.col("n") + F.col("c_n")
+    needed = F.ceil(both * PERCENT / (100 + PERCENT))
+    possible = F.least(F.col("n") - F.col("pos"), F.col("c_n") - F.col("c_pos")) + 1
+    sizes = F.least("n", "c_n") * 100 >= F.greatest("n", "c_n") * PERCENT
+    pairs = rows.join(outside, "token").where((F.col("label") != F.col("c_label")) & sizes & (possible >= needed))
+    return pairs.select(F.least("id", "c_id").alias("a"), F.greatest("id", "c_id").alias("b")).distinct()
 
 
 def near_duplicates(df: DataFrame, id_col: str = "doc_id", text: str = "text") -> DataFrame:
