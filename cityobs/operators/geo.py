@@ -122,11 +122,12 @@ def nearest_place(
     if depth > 0:
         points = materialise(points, "places")
 
-    # At first every target looks at the occupied ones of at most 8 ** STEP cubes. The targets are
-    # already distributed by their coordinates, so no round shuffles them while the cubes of its
-    # level fit a broadcast.
+    # The targets are already distributed by their coordinates, so no round shuffles them while the
+    # cubes of its level fit a broadcast.
     frontier = targets.withColumns({"cube": _cube(0), "bound": F.lit(4.0)})
-    for level in range(STEP, depth + 1, STEP):
+    if depth > 0:
+        frontier = _first_step(targets, points, cubes.get(STEP, 0))
+    for level in range(2 * STEP, depth + 1, STEP):
         frontier = _descend(frontier, points, level, cubes.get(level, 0))
 
     candidates = points.select(
@@ -154,23 +155,63 @@ def nearest_place(
     ).drop("__lat", "__lon")
 
 
-def _descend(frontier: DataFrame, points: DataFrame, level: int, cubes: int) -> DataFrame:
-    """Replace each kept cube by its occupied parts, and drop the parts that are too far."""
+def _parts(points: DataFrame, level: int) -> DataFrame:
+    """The occupied parts of every cube of the level above, with a place and the low corner of each."""
     side = 2.0 / (1 << level)
     parts = points.groupBy(_cube(level - STEP).alias("cube"), _cube(level).alias("part")).agg(
         F.min(F.struct(*_AXES)).alias("seen")
     )
     parts = parts.select("cube", "part", "seen.*")
-    parts = parts.select(
+    return parts.select(
         "cube",
         "part",
         *[F.col(a).alias(f"s_{a}") for a in _AXES],
         *[(_axis_index(F.col(a), level) * side - 1).alias(f"low_{a}") for a in _AXES],
     )
+
+
+def _first_step(targets: DataFrame, points: DataFrame, cubes: int) -> DataFrame:
+    """The parts of the whole that targets go on with, chosen for cubes of targets first.
+
+    There are at most 8 ** STEP cubes of either kind. A cube of targets keeps the parts that are no
+    farther from it than the place of some part is from its farthest corner; its targets meet only
+    those.
+    """
+    side = 2.0 / (1 << STEP)
+    home = [_axis_index(F.col(a), STEP).alias(f"h_{a}") for a in _AXES]
+    homes = targets.select(_cube(STEP).alias("home"), *home).distinct()
+    near = F.lit(0.0)
+    far = F.lit(0.0)
+    for a in _AXES:
+        low = F.col(f"h_{a}") * side - 1
+        apart = F.greatest(F.abs(low - F.col(f"low_{a}")) - side - 1e-12, F.lit(0.0))
+        near = near + apart**2
+        far = far + F.greatest(F.abs(F.col(f"s_{a}") - low), F.abs(F.col(f"s_{a}") - low - side)) ** 2
+    kept = (
+        homes.withColumn("cube", _cube_of_all())
+        .join(_parts(points, STEP), "cube")
+        .withColumns({"near": near, "far": F.min(far).over(Window.partitionBy("home"))})
+        .where(F.col("near") <= F.col("far"))
+        .drop("cube", "near", "far", *[f"h_{a}" for a in _AXES])
+    )
+    at_home = targets.withColumns({"home": _cube(STEP), "bound": F.lit(4.0)})
+    return _closer(checked_join(at_home, kept, ["home"], cubes << 3 * STEP, row_bytes=96), STEP)
+
+
+def _cube_of_all() -> Column:
+    return F.lit(0).cast("long")
+
+
+def _descend(frontier: DataFrame, points: DataFrame, level: int, cubes: int) -> DataFrame:
+    """Replace each kept cube by its occupied parts, and drop the parts that are too far."""
+    return _closer(checked_join(frontier, _parts(points, level), ["cube"], cubes), level)
+
+
+def _closer(met: DataFrame, level: int) -> DataFrame:
+    """The parts that can still hold a target's nearest place."""
     per_target = Window.partitionBy("__lat", "__lon")
     return (
-        checked_join(frontier, parts, ["cube"], cubes)
-        .withColumns({"gap": _gap(level), "square": _square("", "s_")})
+        met.withColumns({"gap": _gap(level), "square": _square("", "s_")})
         .where(F.col("gap") <= F.col("bound"))
         .withColumn("bound", F.least("bound", F.min("square").over(per_target)))
         .where(F.col("gap") <= F.col("bound"))
