@@ -115,10 +115,9 @@ def sketches(docs: DataFrame) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            texts = batch.column(1).to_pylist()
-            for start in range(0, len(texts), 1000):
+            for start in range(0, batch.num_rows, 1000):
                 out = [[] for _ in names[1:]]
-                for t in texts[start : start + 1000]:
+                for t in batch.column(1).slice(start, 1000).to_pylist():
                     found = words(t)
                     hashes = shingles(found)
                     least = minwise(hashes)
@@ -235,7 +234,7 @@ def confirm(pairs: DataFrame, docs: DataFrame) -> DataFrame:
     )
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         at, own = None, None
-        for batch in batches:
+        for batch in (whole.slice(start, 500) for whole in batches for start in range(0, whole.num_rows, 500)):
             a, b = [], []
             for centre, part, first, i, blob in zip(*(batch.column(k).to_pylist() for k in range(5)), strict=True):
                 found = np.frombuffer(blob, np.uint64)
