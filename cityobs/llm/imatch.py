@@ -62,30 +62,24 @@ def _document_counts(docs: DataFrame, text: str, keep) -> DataFrame:
 def lexicon(docs: DataFrame, text: str = "text", least: float = LEAST, most: float = MOST) -> list[bytes]:
     """Terms of the band, sorted; document counts are exact and cover all documents.
 
-    A term that a share ``least`` of all documents holds is held by as large a share of one of the
-    blocks that tasks read. A first pass finds each block's such terms and marks their slots in a
-    filter of fixed size; a second counts, exactly and over all documents, the terms of those slots.
+    A term that a share ``least`` of all documents holds is held by as large a share of what one of
+    the tasks reads. In a first pass each task counts slots of a fixed number and reports those that
+    hold as much; a second pass counts, exactly and over all documents, the terms of those slots.
     """
     total = docs.count()
     needed = max(2, math.ceil(least * total))
 
     def frequent(batches):
-        seen, n = Counter(), 0
-
-        def out():
-            enough = max(1, math.floor(least * n)) if n else 1
-            slots = {_slot(t) for t, c in seen.items() if c >= enough}
-            return [s.to_bytes(4, "big") for s in slots], [1] * len(slots)
-
+        held, n = np.zeros(SLOTS, np.int64), 0
         for batch in batches:
             for t in batch.column(0).to_pylist():
-                seen.update(terms(t))
+                found = terms(t)
+                np.add.at(held, np.fromiter(map(_slot, found), np.int64, len(found)), 1)
                 n += 1
-                if len(seen) > 500_000:
-                    yield out()
-                    seen, n = Counter(), 0
-        if n:
-            yield out()
+        slots = np.flatnonzero(held >= max(1, math.floor(least * n)))
+        for start in range(0, len(slots), 50_000):
+            some = slots[start : start + 50_000].tolist()
+            yield [s.to_bytes(4, "big") for s in some], [1] * len(some)
 
     marked = np.zeros(SLOTS, bool)
     for row in _document_counts(docs, text, frequent).select("term").distinct().toLocalIterator():
