@@ -2,8 +2,8 @@
 
 A document's set is its distinct five-word shingles. Copies (equal words) are one class from the
 start; one document of each class goes on. Every tree deals the documents from its root down: a
-node picks one of the minwise coordinates, sometimes a second one (1 / 0.85 in the mean, so that a
-pair at the threshold keeps one common path in the mean at any depth), and a document goes to the
+node picks one of the minwise coordinates, sometimes a second one (1 / threshold in the mean, so that
+a pair at the threshold keeps one common path in the mean at any depth), and a document goes to the
 child of its value there. Nodes of few documents are compared exhaustively, larger ones are dealt
 again. Independent trees are repeated until a pair at the threshold is missed by all of them with a
 chance below one in a million.
@@ -25,6 +25,7 @@ is the component; an empty table gives an empty table; other columns pass throug
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -36,17 +37,16 @@ from pyspark.sql import functions as F
 from cityobs.scratch import materialise
 
 SHINGLE = 5
-#: Links need 100 * intersection >= PERCENT * union.
+#: Links need 100 * intersection >= PERCENT * union, unless a caller names another threshold.
 PERCENT = 85
-TREES = 12
 #: Minwise coordinates that trees branch on, and that sketches have a bit of.
 COORDINATES, BITS = 64, 128
-#: Equal sketch bits that a pair needs. At the threshold 118 are expected with a deviation of 3.
-EQUAL_BITS = 100
 #: Documents of a node that are compared exhaustively.
 SMALL = 16
 #: Levels of a tree.
 DEPTH = 3
+#: Chance that all trees miss a pair at the threshold, at most.
+MISSED = 1e-6
 #: Documents that one task compares with one centre.
 CHUNK = 500
 #: Bits of the filter by which texts are read for confirmation.
@@ -90,11 +90,11 @@ def minwise(hashes: np.ndarray) -> np.ndarray:
     return out
 
 
-def children(nodes: np.ndarray, values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+def children(nodes: np.ndarray, values: np.ndarray, percent: int = PERCENT) -> tuple[np.ndarray, np.ndarray]:
     """Rows and children of nodes, given the coordinates (one row each) of the documents in them."""
     drawn = _mix(nodes ^ _B)
     rows, out = [], []
-    twice = (drawn >> np.uint64(40)) % np.uint64(10_000) < np.uint64(round(1e6 / PERCENT - 1e4))
+    twice = (drawn >> np.uint64(40)) % np.uint64(10_000) < np.uint64(round(1e6 / percent - 1e4))
     for k, which in enumerate((np.arange(len(nodes)), np.flatnonzero(twice))):
         pick = ((drawn[which] >> np.uint64(7 * k)) % np.uint64(COORDINATES)).astype(np.int64)
         if k:  # another coordinate than the first one
@@ -106,12 +106,33 @@ def children(nodes: np.ndarray, values: np.ndarray) -> tuple[np.ndarray, np.ndar
     return np.concatenate(rows), np.concatenate(out)
 
 
-_ROOTS = _mix(np.arange(1, TREES + 1, dtype=np.uint64) * _A)
+def trees(percent: int) -> int:
+    """Trees that together miss a pair at the threshold with a chance below ``MISSED``."""
+    p, lost = percent / 100, 0.0
+    for _ in range(DEPTH):
+        one = 1 - p + p * lost  # a child's documents are not both there, or part further down
+        lost = (2 - 1 / p) * one + (1 / p - 1) * one * one
+    return max(1, math.ceil(math.log(MISSED) / math.log(lost))) if lost else 1
 
 
-def sketches(docs: DataFrame) -> DataFrame:
+def equal_bits(percent: int) -> int:
+    """Equal sketch bits that a pair needs: six deviations below what the threshold lets expect."""
+    p = (1 + percent / 100) / 2
+    return math.floor(BITS * p - 6 * math.sqrt(BITS * p * (1 - p)))
+
+
+def _roots(percent: int) -> np.ndarray:
+    return _mix(np.arange(1, trees(percent) + 1, dtype=np.uint64) * _A)
+
+
+EQUAL_BITS = equal_bits(PERCENT)
+_ROOTS = _roots(PERCENT)
+
+
+def sketches(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     """For ``id`` and ``text``: class key, set size, two sketch words, first nodes and coordinates."""
     names = ["id", "key", "n", "b0", "b1", "nodes", "values"]
+    roots = _roots(percent)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -123,7 +144,7 @@ def sketches(docs: DataFrame) -> DataFrame:
                     least = minwise(hashes)
                     bits = np.packbits((_mix(least) >> np.uint64(17)).astype(np.uint8) & 1).view(np.int64)
                     mine = least[:COORDINATES]
-                    _, first = children(_ROOTS, np.broadcast_to(mine, (TREES, COORDINATES)))
+                    _, first = children(roots, np.broadcast_to(mine, (len(roots), COORDINATES)), percent)
                     values = (xxhash.xxh3_128_digest(b" ".join(found)), len(hashes), int(bits[0]), int(bits[1]))
                     for column, value in zip(out, (*values, first.view(np.int64), mine.astype(np.uint32).view(np.int32)), strict=True):
                         column.append(value)
@@ -135,7 +156,7 @@ def sketches(docs: DataFrame) -> DataFrame:
     return docs.mapInArrow(run, f"id {kind}, key binary, n long, b0 long, b1 long, nodes array<long>, values array<int>")
 
 
-def _deeper(rows: DataFrame, vectors: DataFrame) -> DataFrame:
+def _deeper(rows: DataFrame, vectors: DataFrame, percent: int) -> DataFrame:
     """The next level's rows of documents in large nodes."""
     schema = rows.schema
 
@@ -145,7 +166,7 @@ def _deeper(rows: DataFrame, vectors: DataFrame) -> DataFrame:
             values = np.array(batch.column(5).to_pylist(), np.int32).view(np.uint32).reshape(len(nodes), -1)
             if not len(nodes):
                 continue
-            which, out = children(nodes, values)
+            which, out = children(nodes, values, percent)
             at = pa.array(which)
             kept = [batch.column(k).take(at) for k in range(1, 5)]
             yield pa.RecordBatch.from_arrays([pa.array(out.view(np.int64)), *kept], names=schema.fieldNames())
@@ -153,27 +174,27 @@ def _deeper(rows: DataFrame, vectors: DataFrame) -> DataFrame:
     return rows.join(vectors, "id").select("node", "id", "n", "b0", "b1", "values").mapInArrow(run, schema)
 
 
-def _close(a: str, b: str) -> Column:
+def _close(a: str, b: str, percent: int) -> Column:
     """Whether sizes allow a link and sketches make one likely."""
-    sizes = F.least(F.col(f"{a}n"), F.col(f"{b}n")) * 100 >= F.greatest(F.col(f"{a}n"), F.col(f"{b}n")) * PERCENT
+    sizes = F.least(F.col(f"{a}n"), F.col(f"{b}n")) * 100 >= F.greatest(F.col(f"{a}n"), F.col(f"{b}n")) * percent
     differ = sum(F.bit_count(F.col(f"{a}{c}").bitwiseXOR(F.col(f"{b}{c}"))) for c in ("b0", "b1"))
-    return sizes & (differ <= BITS - EQUAL_BITS)
+    return sizes & (differ <= BITS - equal_bits(percent))
 
 
-def _stars(nodes: DataFrame, centres: DataFrame) -> DataFrame:
+def _stars(nodes: DataFrame, centres: DataFrame, percent: int) -> DataFrame:
     """Documents and the smallest id of their node, if they are close."""
     met = nodes.join(centres, "node").where(F.col("id") != F.col("c.id"))
     flat = met.select("id", "n", "b0", "b1", *(F.col(f"c.{x}").alias(f"c_{x}") for x in ("id", "n", "b0", "b1")))
-    return flat.where(_close("", "c_")).select(F.col("id").alias("b"), F.col("c_id").alias("a"))
+    return flat.where(_close("", "c_", percent)).select(F.col("id").alias("b"), F.col("c_id").alias("a"))
 
 
-def _small_pairs(nodes: DataFrame) -> DataFrame:
+def _small_pairs(nodes: DataFrame, percent: int) -> DataFrame:
     """All close pairs of nodes of a few documents."""
     group = nodes.groupBy("node").agg(F.sort_array(F.collect_list(F.struct("id", "n", "b0", "b1"))).alias("m"))
     first = group.select(F.posexplode("m").alias("i", "x"), "m")
     second = first.select("x.*", F.explode(F.slice("m", F.col("i") + 2, F.greatest(F.size("m") - F.col("i") - 1, F.lit(0)))).alias("y"))
     flat = second.select("id", "n", "b0", "b1", *(F.col(f"y.{x}").alias(f"y_{x}") for x in ("id", "n", "b0", "b1")))
-    return flat.where((F.col("id") != F.col("y_id")) & _close("", "y_")).select(F.col("id").alias("a"), F.col("y_id").alias("b"))
+    return flat.where((F.col("id") != F.col("y_id")) & _close("", "y_", percent)).select(F.col("id").alias("a"), F.col("y_id").alias("b"))
 
 
 def _slots(ids: DataFrame) -> bytes:
@@ -211,7 +232,7 @@ def _sets(docs: DataFrame, ids: DataFrame) -> DataFrame:
     return docs.select("id", "text", slot.alias("slot")).mapInArrow(read, f"id {kind}, set binary")
 
 
-def confirm(pairs: DataFrame, docs: DataFrame) -> DataFrame:
+def confirm(pairs: DataFrame, docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     """The pairs ``a``, ``b`` that are links on their full sets.
 
     Only texts that the pairs name are turned into sets. A set travels to the centre (``a``) of its
@@ -242,7 +263,7 @@ def confirm(pairs: DataFrame, docs: DataFrame) -> DataFrame:
                     at, own = (centre, part), found
                 elif at == (centre, part):
                     common = len(np.intersect1d(own, found, assume_unique=True))
-                    if 100 * common >= PERCENT * (len(own) + len(found) - common):
+                    if 100 * common >= percent * (len(own) + len(found) - common):
                         a.append(centre)
                         b.append(i)
             kind = batch.column(0).type
@@ -308,9 +329,9 @@ def _apart(pairs: DataFrame, labels: DataFrame) -> DataFrame:
     return both.where(F.col("x") != F.col("y")).select("a", "b")
 
 
-def link(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
+def link(docs: DataFrame, percent: int = PERCENT) -> tuple[DataFrame, DataFrame]:
     """Class of every row (``id``, ``n``, ``rep``) and labels (``id``, ``label``) of linked classes."""
-    seen = materialise(sketches(docs.where(F.col("id").isNotNull())), "sketches")
+    seen = materialise(sketches(docs.where(F.col("id").isNotNull()), percent), "sketches")
     reps = materialise(seen.groupBy("key").agg(F.min("id").alias("rep")), "classes")
     members = seen.select("id", "key", "n").join(reps, "key").drop("key")
     own = seen.where(F.col("n") > 0).join(reps.select(F.col("rep").alias("id")).distinct(), "id", "left_semi").dropDuplicates(["id", "key"])
@@ -323,8 +344,8 @@ def link(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
         sizes = materialise(rows.groupBy("node").agg(F.count("*").alias("size"), least).where(F.col("size") > 1), f"nodes-{level}")
         shared = materialise(rows.join(sizes.select("node", "size"), "node"), f"node-rows-{level}")
         nodes = shared.drop("size")
-        stars.append(_stars(nodes, sizes.select("node", "c")))
-        pairs.append(_small_pairs(shared.where(F.col("size").between(3, SMALL)).drop("size")))
+        stars.append(_stars(nodes, sizes.select("node", "c"), percent))
+        pairs.append(_small_pairs(shared.where(F.col("size").between(3, SMALL)).drop("size"), percent))
         large = shared.where(F.col("size") > SMALL).drop("size")
         if level == DEPTH:
             dense = large
@@ -334,17 +355,17 @@ def link(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
             if vectors is None:
                 few = large.select("id").distinct()
                 vectors = materialise(single.select("id", "values").join(few, "id", "left_semi"), "vectors")
-            rows = _deeper(large, vectors)
+            rows = _deeper(large, vectors, percent)
     texts = docs.select("id", "text")
     star = materialise(_union(stars).distinct(), "star-pairs")
-    labels = components(materialise(confirm(star, texts), "star-links"))
+    labels = components(materialise(confirm(star, texts, percent), "star-links"))
     rest = materialise(_apart(_union(pairs).distinct().join(star, ["a", "b"], "left_anti"), labels), "other-pairs")
     if not rest.isEmpty():
-        labels = _merge(labels, materialise(confirm(rest, texts), "other-links"))
+        labels = _merge(labels, materialise(confirm(rest, texts, percent), "other-links"))
     if dense is not None and not dense.isEmpty():
-        found = materialise(_dense_pairs(materialise(dense.select("id").distinct(), "dense"), labels, texts), "dense-pairs")
+        found = materialise(_dense_pairs(materialise(dense.select("id").distinct(), "dense"), labels, texts, percent), "dense-pairs")
         if not found.isEmpty():
-            labels = _merge(labels, materialise(confirm(found, texts), "dense-links"))
+            labels = _merge(labels, materialise(confirm(found, texts, percent), "dense-links"))
     return members, labels
 
 
@@ -372,7 +393,7 @@ def _tokens(sets: DataFrame) -> DataFrame:
     return sets.mapInArrow(run, f"id {kind}, n long, token long")
 
 
-def _dense_pairs(ids: DataFrame, labels: DataFrame, texts: DataFrame) -> DataFrame:
+def _dense_pairs(ids: DataFrame, labels: DataFrame, texts: DataFrame, percent: int = PERCENT) -> DataFrame:
     """Pairs of documents of different classes that may be linked, by an exact prefix filter.
 
     With shingles in the order of their rarity, sets of sizes m and n that need k in common hold
@@ -384,7 +405,7 @@ def _dense_pairs(ids: DataFrame, labels: DataFrame, texts: DataFrame) -> DataFra
     counts = tokens.groupBy("token").agg(F.count("*").alias("held"))
     order = Window.partitionBy("id").orderBy("held", "token")
     ranked = tokens.join(counts, "token").withColumn("pos", F.row_number().over(order))
-    longest = F.col("n") - F.ceil(F.col("n") * PERCENT / 100) + 1
+    longest = F.col("n") - F.ceil(F.col("n") * percent / 100) + 1
     first = ranked.where((F.col("pos") <= longest) & (F.col("held") > 1)).select("token", "id", "n", "pos")
     rows = materialise(_labelled(first, labels, "id", "label"), "dense-prefixes")
     classes = rows.groupBy("token", "label").agg(F.count("*").alias("size"))
@@ -395,17 +416,17 @@ def _dense_pairs(ids: DataFrame, labels: DataFrame, texts: DataFrame) -> DataFra
         .select("token", *(F.col(c).alias(f"c_{c}") for c in ("id", "n", "pos", "label")))
     )
     both = F.col("n") + F.col("c_n")
-    needed = F.ceil(both * PERCENT / (100 + PERCENT))
+    needed = F.ceil(both * percent / (100 + percent))
     possible = F.least(F.col("n") - F.col("pos"), F.col("c_n") - F.col("c_pos")) + 1
-    sizes = F.least("n", "c_n") * 100 >= F.greatest("n", "c_n") * PERCENT
+    sizes = F.least("n", "c_n") * 100 >= F.greatest("n", "c_n") * percent
     pairs = rows.join(outside, "token").where((F.col("label") != F.col("c_label")) & sizes & (possible >= needed))
     return pairs.select(F.least("id", "c_id").alias("a"), F.greatest("id", "c_id").alias("b")).distinct()
 
 
-def near_duplicates(df: DataFrame, id_col: str = "doc_id", text: str = "text") -> DataFrame:
-    """Id, ``n_shingles``, ``component_id`` and ``kept`` of every row."""
+def near_duplicates(df: DataFrame, id_col: str = "doc_id", text: str = "text", percent: int = PERCENT) -> DataFrame:
+    """Id, ``n_shingles``, ``component_id`` and ``kept`` of every row, linked from ``percent`` of similarity on."""
     docs = df.select(F.col(id_col).alias("id"), F.col(text).alias("text"))
-    members, labels = link(docs)
+    members, labels = link(docs, percent)
     empty = F.col("n") == 0
     found = _labelled(members, labels, "rep", "component").select(
         F.col("id").alias(id_col),

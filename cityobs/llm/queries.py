@@ -104,8 +104,8 @@ def lattice_likelihood(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def chosen_path_join(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Near-duplicate component of every document."""
-    return cpsjoin.near_duplicates(_table(spark, sf_dir, "documents").select("doc_id", "text"))
+    """Near-duplicate component of every document, at a similarity of 0.85 or more."""
+    return cpsjoin.near_duplicates(_table(spark, sf_dir, "documents").select("doc_id", "text"), percent=85)
 
 
 def _scores(spark: SparkSession, sf_dir: str, module, label: str, folds: int, left_out: int) -> DataFrame:

@@ -36,10 +36,14 @@ def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return kept.withColumn("n_chars", chars).select(*docs.columns)
 
 
+#: Similarity from which the stage takes two documents for near duplicates, in per cent.
+NEAR_PERCENT = 80
+
+
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The document of the smallest id of every group of near duplicates."""
     ship(spark)
-    gone = cpsjoin.near_duplicates(docs).where(~F.col("kept")).select("doc_id").distinct()
+    gone = cpsjoin.near_duplicates(docs, percent=NEAR_PERCENT).where(~F.col("kept")).select("doc_id").distinct()
     return docs.join(gone, "doc_id", "left_anti").select(*docs.columns)
 
 
