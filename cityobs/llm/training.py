@@ -2,13 +2,17 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from collections import Counter
+
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 #: Labelled texts that a classifier is fitted on, at most.
 MAX_TEXTS = 4_000
-#: Characters of these texts together, at most; whole texts are taken while they fit.
+#: Characters of these texts together, at most; whole texts are taken, those that do not fit are passed over.
 MAX_CHARS = 12_000_000
+#: Texts of more characters come after all others, so that a few of them do not take the place of many.
+LONG_CHARS = 120_000
 
 
 def fold(doc_id: Column, folds: int) -> Column:
@@ -25,13 +29,15 @@ def sample(
     text: str = "text",
     max_texts: int = MAX_TEXTS,
     max_chars: int = MAX_CHARS,
+    long_chars: int = LONG_CHARS,
 ) -> list[tuple[str, int]]:
     """Whole texts and 0/1 labels, in the order of a hash of their ids.
 
     The first ``max_texts`` labels by hash are taken, so their side of the join is bounded and can
     be broadcast: no text is shuffled. Null ids, null labels and labels other than 0 and 1 are left
     out; an id with several labels takes its largest; of repeated rows of an id all are taken that
-    fit. Texts are dropped from the end of the order when together they pass ``max_chars``.
+    fit. A text that would take the sample past ``max_chars`` is passed over and the next ones are
+    tried; texts of more than ``long_chars`` are tried after all others, in the same order.
     """
     order = F.xxhash64(F.col(id_col).cast("string"))
     chosen = (
@@ -46,16 +52,19 @@ def sample(
         F.broadcast(chosen), id_col
     )
     sized = found.select(id_col, "__label", F.length("__text").alias("__chars"))
-    kept, chars, last = [], 0, None
-    for row in sized.orderBy(order, id_col, "__chars").limit(max_texts).collect():
-        chars += row["__chars"]
-        if chars > max_chars:
-            break
-        last = row[id_col]
-        kept.append(row[id_col])
-    if last is None:
+    tried = sized.orderBy(order, id_col, "__chars").limit(max_texts).collect()
+    kept, chars = Counter(), 0
+    for row in sorted(tried, key=lambda r: r["__chars"] > long_chars):
+        if chars + row["__chars"] <= max_chars:
+            chars += row["__chars"]
+            kept[row[id_col], row["__chars"]] += 1
+    if not kept:
         return []
-    wanted = chosen.sparkSession.createDataFrame([(x,) for x in dict.fromkeys(kept)], chosen.select(id_col).schema)
-    rows = found.join(F.broadcast(wanted), id_col).collect()
+    schema = chosen.select(id_col, F.lit(0).alias("__chars"), F.lit(0).alias("__n")).schema
+    wanted = chosen.sparkSession.createDataFrame([(*key, n) for key, n in kept.items()], schema)
+    # Of rows of one id and one length no more are brought than were counted.
+    at = F.row_number().over(Window.partitionBy(id_col, "__chars").orderBy("__text"))
+    met = found.withColumn("__chars", F.length("__text")).join(F.broadcast(wanted), [id_col, "__chars"])
+    rows = met.withColumn("__at", at).where(F.col("__at") <= F.col("__n")).select(id_col, "__text", "__label").collect()
     rows.sort(key=lambda r: (str(r[id_col]), r["__text"]))
     return [(r["__text"], r["__label"]) for r in rows[:max_texts]]

@@ -89,3 +89,20 @@ def test_sample_reads_only_usable_labels_and_keeps_its_bounds(spark, table):
     assert sum(len(t) for t, _ in training.sample(docs, labels, "quality", usable, max_chars=30)) <= 30
     assert training.sample(docs, labels.limit(0), "quality", usable) == []
     assert rows == training.sample(docs.repartition(5), labels.repartition(3), "quality", usable)
+
+
+def test_sample_passes_over_texts_that_do_not_fit(spark, table):
+    order = [r[0] for r in spark.range(20).orderBy(F.xxhash64(F.col("id").cast("string")), "id").collect()]
+    labels = spark.createDataFrame([(i, i % 2) for i in range(20)], "doc_id long, quality int")
+    plain = {i: f"text {i:02}" for i in order}
+
+    def sampled(rows, **bounds):
+        return {t for t, _ in training.sample(table(rows), labels, "quality", F.lit(True), **bounds)}
+
+    first = plain | {order[0]: "x" * 1001}
+    assert sampled(list(first.items()), max_chars=1000) == set(first.values()) - {"x" * 1001}
+    some = plain | {i: "x" * (100 + i) for i in order[:3]}
+    got = sampled(list(some.items()), max_chars=300, long_chars=50)
+    assert set(some.values()) - {some[i] for i in order[:3]} < got and len(got) == 18
+    assert sampled([(order[0], "ab"), *[(order[0], "cd")] * 9], max_chars=5) <= {"ab", "cd"}
+    assert sum(len(t) for t, _ in training.sample(table([(order[0], "ab")] * 9), labels, "quality", F.lit(True), max_chars=5)) == 4
