@@ -2,7 +2,7 @@
 
 The vocabulary is a SentencePiece file; nothing is added to it. A piece's probability follows how
 often the vocabulary's own segmentation of the training words uses it, on top of what its score
-says. A word's probability is the sum over all its segmentations (forward recursion in log space),
+says; pieces that it never uses there keep the little weight of their score. A word's probability is the sum over all its segmentations (forward recursion in log space),
 mixed with the word's own discounted share among the training tokens, as a piece that spells all of
 it would have; the mass taken from seen words is what unseen ones share. A document is its words
 and one end. Words that make up a millionth of the tokens or more (a million at most) are scored
@@ -117,10 +117,9 @@ class Pieces:
                 byte_weight[int(processor.id_to_piece(i)[3:5], 16)] += used.get(i, 0)
             elif not (processor.is_control(i) or processor.is_unknown(i) or processor.is_unused(i)):
                 # The vocabulary's scores are ranks; alone they give a piece little weight.
-                prior = 1.0 / (10.0 - min(processor.get_score(i), 0.0)) if i in used or len(processor.id_to_piece(i)) == 1 else 0.0
-                if weight := used.get(i, 0) + prior:
-                    piece = processor.id_to_piece(i)
-                    weights[piece] = weights.get(piece, 0.0) + weight
+                prior = 1.0 / (10.0 - min(processor.get_score(i), 0.0))
+                piece = processor.id_to_piece(i)
+                weights[piece] = weights.get(piece, 0.0) + used.get(i, 0) + prior
         total = sum(weights.values()) + float(byte_weight.sum())
         self.log = {p: math.log(w / total) for p, w in weights.items()}
         self.byte_log = np.log(byte_weight / total).tolist()

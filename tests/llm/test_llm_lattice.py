@@ -83,3 +83,16 @@ def test_without_training_documents_and_empty(table):
     got = {r["doc_id"]: r for r in lattice.score(rows, F.lit(False), PATH).collect()}
     assert got[1]["n_known"] == 0 and got[1]["train_tokens"] == 0 and got[1]["score"] < got[2]["score"] < 0
     assert lattice.score(rows.limit(0), F.lit(True), PATH).count() == 0
+
+
+def test_pieces_unused_in_training_give_paths(pieces):
+    processor = lattice._processor(PATH)
+    ordinary = [
+        processor.id_to_piece(i)
+        for i in range(processor.get_piece_size())
+        if not (processor.is_byte(i) or processor.is_control(i) or processor.is_unknown(i) or processor.is_unused(i))
+    ]
+    assert set(ordinary) == set(pieces.log)
+    letters = lattice.Pieces(PATH, {})
+    letters.log = {p: x for p, x in pieces.log.items() if p != "▁people"}
+    assert pieces.likelihood(b"people") > letters.likelihood(b"people")
