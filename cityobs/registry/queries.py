@@ -23,7 +23,7 @@ from cityobs.plans.sunny import clear_days, sunny_periods
 from cityobs.plans.swing import season_readings, seasonal_swing, yearly_swing
 from cityobs.registry import adapters as data
 from cityobs.scratch import scratch_path
-from cityobs.sources.elapsed import read_elapsed, write_elapsed, write_latency
+from cityobs.sources.elapsed import read_elapsed, write_elapsed, write_elapsed_lists, write_latency
 from cityobs.sources.layout import Layout
 from cityobs.sources.results import load_result, save_result
 from cityobs.sources.tables import YEAR_COLUMN, publish, read_table, write_table
@@ -421,12 +421,7 @@ def latency_report(spark: SparkSession, sf: str) -> DataFrame:
 def latency_report_list(spark: SparkSession, sf: str) -> DataFrame:
     """As ``latency_report``, from files that hold one JSON list each."""
     folder = scratch_path(spark, "lists")
-    part = F.pmod(F.xxhash64("filename", "timestamp", "elapsed"), F.lit(50))
-    record = F.struct("filename", "timestamp", "elapsed")
-    lists = pair_events(data.file_events(spark, sf)).groupBy("filename", part.alias("part"))
-    lists.agg(F.to_json(F.collect_list(record)).alias("value")).select(
-        F.concat("filename", F.lit("-"), "part").alias("file"), "value"
-    ).write.partitionBy("file").text(folder)
+    write_elapsed_lists(pair_events(data.file_events(spark, sf)), folder)
     report = latency_by_file(read_elapsed(spark, folder, json_list=True).select("filename", "timestamp", "elapsed"))
     return _rounded(report, 4, "avg", "stddev")
 

@@ -1,3 +1,4 @@
+import json
 import math
 
 import pytest
@@ -7,6 +8,7 @@ from pyspark.sql import functions as F
 from cityobs.operators.latency import ingest_latency, latency_by_file, pair_events
 from cityobs.operators.runs import RUN_SCHEMA, summarize_runs
 from cityobs.operators.joins import hot_keys, salted_join, split_hot_join
+from cityobs.registry import queries
 from cityobs.sources.elapsed import read_elapsed, write_elapsed
 
 EVENTS = "event_type string, flow_uuid string, event_time_ms long, duration_ms long, attr_uuid string, filename string"
@@ -103,3 +105,17 @@ def test_warm_up_runs_do_not_count(spark):
     got = summarize_runs(spark.createDataFrame(log, RUN_SCHEMA)).first()
     assert (got["runs"], got["avg"]) == (3, 2.0)
     assert got["stddev"] == pytest.approx(math.sqrt(2 / 3))
+
+
+def test_lists_hold_a_bounded_number_of_records(spark, tmp_path, monkeypatch):
+    records = spark.sql(
+        "SELECT if(id < 90, 'f', 'g') AS filename, '2019-01-01 00:00:00' AS timestamp,"
+        " CAST(if(id < 40, 0, id) AS DOUBLE) AS elapsed FROM range(100)"
+    )
+    monkeypatch.setattr(queries, "pair_events", lambda events: records)
+    monkeypatch.setattr(queries, "scratch_path", lambda spark, name: str(tmp_path / name))
+    monkeypatch.setattr("cityobs.sources.elapsed.LIST_RECORDS", 7, raising=False)
+    got = queries.latency_report_list(spark, "/root/testdata/sf0.001")
+    assert {r["filename"]: r["count"] for r in got.collect()} == {"f": 90, "g": 10}
+    sizes = [len(json.loads(p.read_text())) for p in (tmp_path / "lists").rglob("part-*.txt")]
+    assert sum(sizes) == 100 and max(sizes) <= 7
