@@ -36,8 +36,6 @@ DISCOUNT = 0.7
 BASE = 0.1
 #: Different words that a task counts before it hands them on.
 COUNTED = 300_000
-#: Letters of a longer word are taken as this many at a time, so that a word costs linear time.
-LONGEST = 400
 #: The end of a document; no word holds white space.
 END = b"\n"
 
@@ -127,17 +125,18 @@ class Pieces:
 
     def likelihood(self, word: bytes) -> float:
         """Natural logarithm of the sum over all segmentations of the word after its boundary mark."""
-        text = "▁" + word.decode(errors="replace")
-        return sum(self._forward(text[i : i + LONGEST]) for i in range(0, len(text), LONGEST))
+        return self._forward("▁" + word.decode(errors="replace"))
 
     def _forward(self, text: str) -> float:
-        # Sums are kept relative to a running scale, so that no word is too long for them.
+        # Sums are logarithms, and only those that a piece can still reach are kept, so that no word is too long.
         n, log, longest, byte_log = len(text), self.log, self.longest, self.byte_log
-        reach = [-math.inf] * (n + 1)
+        size = min(n, longest) + 1
+        reach = [-math.inf] * size
         reach[0] = 0.0
         exp, log1p = math.exp, math.log1p
         for i in range(n):
-            here = reach[i]
+            at = i % size
+            here, reach[at] = reach[at], -math.inf
             if here == -math.inf:
                 continue
             stop = min(n, i + longest)
@@ -148,12 +147,13 @@ class Pieces:
                         continue
                     step = sum(byte_log[b] for b in text[i].encode("utf-8", "surrogatepass"))
                 step += here
-                other = reach[j]
+                to = j % size
+                other = reach[to]
                 if step > other:
-                    reach[j] = step + log1p(exp(other - step)) if other != -math.inf else step
+                    reach[to] = step + log1p(exp(other - step)) if other != -math.inf else step
                 else:
-                    reach[j] = other + log1p(exp(step - other))
-        return reach[n]
+                    reach[to] = other + log1p(exp(step - other))
+        return reach[n % size]
 
 
 def score_words(counted: DataFrame, pieces: Pieces, total: int, distinct: int) -> DataFrame:

@@ -96,3 +96,19 @@ def test_pieces_unused_in_training_give_paths(pieces):
     letters = lattice.Pieces(PATH, {})
     letters.log = {p: x for p, x in pieces.log.items() if p != "▁people"}
     assert pieces.likelihood(b"people") > letters.likelihood(b"people")
+
+
+@pytest.mark.parametrize("word", ["thereinanother" * 60, "東京тест🙂" * 100, "another" * 150 + "x"])
+def test_long_words_sum_over_all_segmentations(pieces, word):
+    text = "▁" + word
+    back = [-math.inf] * len(text) + [0.0]
+    for i in range(len(text) - 1, -1, -1):
+        terms = []
+        for j in range(i + 1, min(len(text), i + pieces.longest) + 1):
+            if text[i:j] in pieces.log:
+                terms.append(pieces.log[text[i:j]] + back[j])
+            elif j == i + 1:
+                terms.append(sum(pieces.byte_log[b] for b in text[i].encode()) + back[j])
+        top = max(terms)
+        back[i] = top + math.log(sum(math.exp(t - top) for t in terms))
+    assert pieces.likelihood(word.encode()) == pytest.approx(back[0], rel=1e-12)
