@@ -66,3 +66,10 @@ def test_links_at_a_threshold_pass_sketches_and_meet(percent):
             ]
         missed += not set(nodes[0].tolist()) & set(nodes[1].tolist())
     assert missed <= 1 and least >= cpsjoin.equal_bits(percent)
+
+
+@pytest.mark.parametrize("percent", [80, 85])
+def test_trees_branch_on_different_coordinates_first(percent):
+    roots = cpsjoin._roots(percent)
+    first = cpsjoin._mix(roots ^ cpsjoin._B) % np.uint64(cpsjoin.COORDINATES)
+    assert len(set(first.tolist())) == len(roots) == cpsjoin.trees(percent)
