@@ -125,9 +125,79 @@ SELECT d.doc_id, coalesce(s.n, 0)::BIGINT AS n_shingles, coalesce(c.component, d
 FROM docs d LEFT JOIN texts t ON d.w = t.w LEFT JOIN sizes s ON s.rep = t.rep LEFT JOIN classes c ON c.id = t.rep
 """
 
+_WORDS = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
+_TERMS = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
+
+HYBRID_SEARCH = f"""
+WITH docs AS (SELECT doc_id, regexp_extract_all({_LOWER}, '{_TERMS}') AS w FROM documents),
+  totals AS (SELECT count(*)::BIGINT AS n_docs, sum(len(w))::BIGINT AS n_terms FROM docs WHERE len(w) > 0),
+  postings AS (
+    SELECT doc_id, n, term, count(*)::BIGINT AS tf
+    FROM (SELECT doc_id, len(w)::BIGINT AS n, unnest(w) AS term FROM docs) GROUP BY doc_id, n, term),
+  weights AS (
+    SELECT term, floor(1000 * ln((2 * n_docs + 2)::DOUBLE / (2 * count(*) + 1)::DOUBLE))::BIGINT AS weight
+    FROM postings, totals GROUP BY term, n_docs),
+  asked AS (
+    SELECT item_id, term, count(*)::BIGINT AS times
+    FROM (SELECT item_id, unnest(regexp_extract_all({_LOWER}, '{_TERMS}')) AS term FROM benchmark) GROUP BY item_id, term),
+  scored AS (
+    SELECT item_id, doc_id, sum(times * weight * ((1000000000 * tf) // (1000 * tf + 8 * (25 + (75 * n * n_docs) // n_terms))))::BIGINT AS score
+    FROM asked JOIN postings USING (term) JOIN weights USING (term), totals GROUP BY item_id, doc_id),
+  placed AS (
+    SELECT item_id, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id)::INTEGER AS rank, doc_id, score
+    FROM scored WHERE score > 0)
+SELECT item_id, rank, doc_id, score FROM placed WHERE rank <= 10
+"""
+
+
+def _features(table: str, owner: str) -> str:
+    """Every run of one to three words of every text, with its place."""
+    words = f"(SELECT {owner} AS owner, regexp_extract_all({_LOWER}, '{_WORDS}') AS w FROM {table})"
+    one = "SELECT owner, array_to_string(w[s : s + {n} - 1], ' ') AS t FROM (SELECT owner, w, unnest(range(1, len(w) - {n} + 2)) AS s FROM {words})"
+    return " UNION ALL ".join(one.format(n=n, words=words) for n in (1, 2, 3))
+
+
+IMPORTANCE_RESAMPLING = f"""
+WITH remainder_table AS (
+    SELECT list_transform(range(256), lambda n: list_reduce(list_prepend(n::BIGINT, range(8)),
+      lambda c, k: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END)) AS remainders),
+  corpus AS ({_features("documents", "doc_id")}),
+  target AS ({_features("benchmark", "item_id")}),
+  buckets AS (
+    SELECT t, xor({_CRC}, 4294967295)::BIGINT % 10000 AS bucket
+    FROM (SELECT t FROM corpus UNION SELECT t FROM target), remainder_table),
+  corpus_counts AS (SELECT bucket, count(*)::DOUBLE AS n FROM corpus JOIN buckets USING (t) GROUP BY 1),
+  target_counts AS (SELECT bucket, count(*)::DOUBLE AS n FROM target JOIN buckets USING (t) GROUP BY 1),
+  gains AS (
+    SELECT b.bucket, floor(1000 * ln(
+        ((coalesce(t.n, 0) + 1) * ((SELECT count(*) FROM corpus) + 10000)::DOUBLE)
+        / ((coalesce(c.n, 0) + 1) * ((SELECT count(*) FROM target) + 10000)::DOUBLE)))::BIGINT AS gain
+    FROM (SELECT DISTINCT bucket FROM buckets) b
+    LEFT JOIN corpus_counts c USING (bucket) LEFT JOIN target_counts t USING (bucket)),
+  summed AS (
+    SELECT owner AS doc_id, count(*)::BIGINT AS n_features, sum(gain)::BIGINT AS weight
+    FROM corpus JOIN buckets USING (t) JOIN gains USING (bucket) GROUP BY 1),
+  noisy AS (
+    SELECT d.doc_id, coalesce(n_features, 0)::BIGINT AS n_features, coalesce(weight, 0)::BIGINT AS weight,
+      len(regexp_extract_all({_LOWER}, '{_WORDS}')) AS n_words,
+      (('0x' || substr(sha256('42:' || d.doc_id), 1, 8))::BIGINT + 0.5::DOUBLE) / 4294967296::DOUBLE AS share
+    FROM documents d LEFT JOIN summed s ON s.doc_id = d.doc_id),
+  scored AS (
+    SELECT doc_id, n_features, weight, n_words >= 20 AS fits,
+      (weight + floor(-1000 * ln(-ln(share)))::BIGINT)::BIGINT AS score FROM noisy),
+  placed AS (
+    SELECT *, row_number() OVER (PARTITION BY fits ORDER BY score DESC, doc_id) AS place,
+      count(*) OVER (PARTITION BY fits) AS total FROM scored)
+SELECT doc_id, n_features, weight, score,
+  CASE WHEN fits AND place <= (5 * total) // 100 THEN place END::BIGINT AS rank
+FROM placed
+"""
+
 ORACLES = {
     "op1_feistel_shards": FEISTEL_SHARDS,
     "op6_site_spread_lines": SITE_SPREAD_LINES,
     "op7_chosen_path_join": CHOSEN_PATH_JOIN,
+    "op12_hybrid_search": HYBRID_SEARCH,
+    "op13_importance_resampling": IMPORTANCE_RESAMPLING,
     "op9_window_hits": WINDOW_HITS,
 }

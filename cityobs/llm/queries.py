@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cityobs.llm import bpe, cpsjoin, decontaminate, imatch, lattice, lines, pii, quality, sharding, toxicity, training
+from cityobs.llm import bpe, cpsjoin, decontaminate, imatch, importance, lattice, lines, packing, pii, quality, ranked, sharding, toxicity, training
 from cityobs.llm.oracles import ORACLES
 from cityobs.llm.ship import ship
 
@@ -131,6 +131,23 @@ def toxic_segments(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _scores(spark, sf_dir, toxicity, "toxic", 5, 0)
 
 
+def bin_completion(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents in sequences of at most 4096 ids."""
+    cut = packing.pieces(_table(spark, sf_dir, "documents"), vocabulary("word_bpe_49k.json"))
+    return packing.pack(cut.withColumn("ids_crc32", F.crc32("ids")).drop("ids"))
+
+
+def hybrid_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The ten best documents for every benchmark item."""
+    return ranked.search(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"), 10)
+
+
+def importance_draw(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Weight of every document towards the benchmark, and the place of the 5 % that are drawn."""
+    drawn = importance.resample(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"), 5)
+    return drawn.drop("n_words")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_feistel_shards": feistel_shards,
     "op2_imatch_fingerprints": imatch_fingerprints,
@@ -142,6 +159,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_byte_bpe": byte_bpe,
     "op9_window_hits": window_hits,
     "op10_bootstrapped_pii": bootstrapped_pii,
+    "op11_bin_completion": bin_completion,
+    "op12_hybrid_search": hybrid_search,
+    "op13_importance_resampling": importance_draw,
 }
 
 __all__ = ["ORACLES", "QUERIES"]
