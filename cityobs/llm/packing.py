@@ -23,11 +23,13 @@ passes other columns through, whatever their names, but for those of its results
 from __future__ import annotations
 
 import os
+import struct
 from bisect import bisect_left, insort
 from collections import defaultdict
 from collections.abc import Iterator
 from functools import lru_cache
 from itertools import combinations
+from unicodedata import is_normalized
 
 import numpy as np
 import pyarrow as pa
@@ -35,6 +37,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from cityobs.llm.bpe import byte_table
 from cityobs.scratch import materialise
 
 CAPACITY = 4096
@@ -45,7 +48,7 @@ TRIED = 12
 #: Pieces of one length that are ranked in one task, about.
 RANKED = 100_000
 #: Space-separated parts whose ids a Python worker remembers, twice; longer parts are not remembered.
-REMEMBERED, LONGEST = 250_000, 100
+REMEMBERED, LONGEST = 400_000, 100
 #: Ids of an Arrow batch, about.
 IDS_OUT = 500_000
 
@@ -280,6 +283,10 @@ def pack(
 # --- ids
 
 
+LETTERS = {bytes([b]) for b in range(97, 123)}
+LOWER = bytes([*range(65), *range(97, 123), *range(91, 256)])
+
+
 @lru_cache(maxsize=4)
 def _tokenizer(path: str):
     os.environ["TOKENIZERS_PARALLELISM"] = "false"
@@ -288,40 +295,60 @@ def _tokenizer(path: str):
     return Tokenizer.from_file(path)
 
 
+class _Known(dict[bytes, bytes]):
+    """Ids of parts; one that is missing is encoded, and remembered unless it is long."""
+
+    def __init__(self, path: str):
+        super().__init__({b"": b""})
+        tokenizer = _tokenizer(path)
+        self.encode, self.merge = tokenizer.encode, tokenizer.model.tokenize
+        self.characters = byte_table()
+        self.old: dict[bytes, bytes] = {}
+
+    def encoded(self, part: bytes) -> bytes:
+        text = part.decode()
+        if text.isalpha() and max(text) < "\u0250" and text == text.lower() and is_normalized("NFC", text):
+            ids = [t.id for t in self.merge(part.decode("latin-1").translate(self.characters))]  # one word as it is
+        else:
+            ids = self.encode(text, add_special_tokens=False).ids
+        return struct.pack(f"<{len(ids)}I", *ids)
+
+    def __missing__(self, part: bytes) -> bytes:
+        ids = self.old.get(part)
+        if ids is None:
+            stopped = part[-1:] in (b".", b",") and part[-2:-1] in LETTERS
+            ids = self[part[:-1]] + self[part[-1:]] if stopped else self.encoded(part)
+        if len(part) <= LONGEST:
+            self[part] = ids
+        return ids
+
+    def turn(self) -> None:
+        self.old = dict(self)
+        self.clear()
+        self[b""] = b""
+
+
 class Encoder:
-    """Ids of texts, for a vocabulary whose words never reach over white space.
+    """Ids of texts, for a vocabulary of lower-case words that never reach over white space.
 
     Texts are cut at spaces and line breaks, and each different part is encoded once while it is
-    remembered. Two tables of bounded size take turns: what is still in use moves to the new one.
+    remembered. A to Z are lower-cased first, which the vocabulary does as well, unless a text has
+    characters that may combine with them or may spell a special token. A full stop or comma after
+    a letter is a word of its own, so the part before it is looked up without it. A part of Latin
+    letters in lower case is one word and goes to the library's model at once. Two tables of
+    bounded size take turns: what is still in use moves to the new one.
     """
 
     def __init__(self, path: str):
-        self.encode = _tokenizer(path).encode_batch_fast
-        self.young: dict[str, bytes] = {"": b""}
-        self.old: dict[str, bytes] = {}
-
-    def _learn(self, new: list[str]) -> dict[str, bytes]:
-        done = self.encode(new, add_special_tokens=False)
-        return {x: np.array(e.ids, np.uint32).tobytes() for x, e in zip(new, done, strict=True)}
-
-    def __call__(self, text: str) -> bytes:
-        """The ids as little-endian 32-bit numbers."""
-        parts = text.replace("\n", " ").split(" ")
-        unknown = set(parts).difference(self.young)
-        once = {}
-        if unknown:
-            if len(self.young) > REMEMBERED:
-                self.old, self.young = self.young, {"": b""}
-                unknown = set(parts).difference(self.young)
-            kept = {x: self.old[x] for x in unknown if x in self.old}
-            self.young |= kept
-            new = [x for x in unknown if x not in kept]
-            for i in range(0, len(new), 10_000):
-                learned = self._learn(new[i : i + 10_000])
-                self.young |= {x: ids for x, ids in learned.items() if len(x) <= LONGEST}
-                once |= {x: ids for x, ids in learned.items() if len(x) > LONGEST}
-        young = self.young
-        return b"".join([young[x] if x in young else once[x] for x in parts] if once else map(young.__getitem__, parts))
+        self.known = _Known(path)
+
+    def __call__(self, raw: bytes) -> bytes:
+        """The ids of a text in UTF-8 as little-endian 32-bit numbers."""
+        if not (b"\xcc" in raw or b"\xcd" in raw or b"<|" in raw):
+            raw = raw.translate(LOWER)
+        if len(self.known) > REMEMBERED:
+            self.known.turn()
+        return b"".join(map(self.known.__getitem__, raw.replace(b"\n", b" ").split(b" ")))
 
 
 def pieces(
@@ -347,8 +374,8 @@ def pieces(
                 columns = [pa.array(x, k) for x, k in zip(zip(*numbers, strict=True), (pa.int32(), pa.int64(), pa.int64()), strict=True)]
                 return pa.RecordBatch.from_arrays([owner, *columns, pa.array(ids, pa.binary())], names=schema.fieldNames())
 
-            for row, value in enumerate(batch.column(1)):
-                own = encoder(value.as_py() or "") + end
+            for row, value in enumerate(batch.column(1).cast(pa.large_binary())):
+                own = encoder(value.as_py() or b"") + end
                 for k, start in enumerate(range(0, len(own), 4 * capacity)):
                     cut = own[start : start + 4 * capacity]
                     rows.append(row)
