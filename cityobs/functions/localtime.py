@@ -5,7 +5,8 @@ zone's offset at that instant, and kept as a long; dates and hours follow by int
 
 ``convert_timezone`` parses both zone ids for every row. With the zone as a literal, the zone is
 resolved once for each task, which is several times faster; so a known, short list of zones
-becomes one CASE, and anything else uses the zone column itself. Both give the same instants.
+becomes one CASE. Longer lists are looked up in a table (``operators.zones``), and what neither
+knows uses the zone column itself. All give the same instants.
 """
 
 from __future__ import annotations

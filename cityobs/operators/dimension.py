@@ -22,6 +22,7 @@ from cityobs.operators.joins import (
     broadcast_join,
     salted_join,
 )
+from cityobs.operators.zones import MAX_ZONES, ZoneTable, with_offset, zone_table
 
 
 #: A dimension of at most this many rows is checked on the driver, in one short job.
@@ -33,11 +34,13 @@ class CityDimension:
     """A dimension whose key has been checked and whose size has been counted.
 
     ``zones`` lists the distinct zones when there are few enough to be written into the plan.
+    Beyond, ``table`` has the changes of their clocks.
     """
 
     df: DataFrame
     fits: bool
     zones: tuple[str, ...] | None
+    table: ZoneTable | None = None
 
 
 class DuplicateCity(ValueError):
@@ -71,22 +74,28 @@ def city_dimension(
         rows, size = seen.first()
         twice = sized.groupBy("City").count().where("count > 1").limit(1).collect()
         zones = sized.select("TimeUTC").where("TimeUTC is not null").distinct()
-        names = {r[0] for r in zones.limit(MAX_INLINE_ZONES + 1).collect()}
+        names = {r[0] for r in zones.limit(MAX_ZONES + 1).collect()}
     if twice:
         raise DuplicateCity("the city dimension holds a city more than once")
+    few_zones = len(names) <= MAX_INLINE_ZONES
     return CityDimension(
         dim,
         fits=rows <= max_rows and size <= max_bytes,
-        zones=tuple(sorted(names)) if len(names) <= MAX_INLINE_ZONES else None,
+        zones=tuple(sorted(names)) if few_zones else None,
+        table=zone_table(dim.sparkSession, sorted(names)) if not few_zones and len(names) <= MAX_ZONES else None,
     )
 
 
 def attach_city(
     obs: DataFrame, dim: DataFrame | CityDimension, columns: tuple[str, ...] = ("Country", "TimeUTC")
 ) -> DataFrame:
-    """Add dimension columns to observations; cities that the dimension lacks drop out."""
+    """Add dimension columns to observations; cities that the dimension lacks drop out.
+
+    ``zone_number`` may be asked for if the dimension has a table of its zones.
+    """
     dim = city_dimension(dim)
-    few = dim.df.select("City", *columns)
+    df = dim.df.join(F.broadcast(dim.table.numbers), "TimeUTC", "left") if "zone_number" in columns else dim.df
+    few = df.select("City", *columns)
     return broadcast_join(obs, few, ["City"]) if dim.fits else salted_join(obs, few, ["City"])
 
 
@@ -101,8 +110,14 @@ def localize(
     dim = city_dimension(dim)
     columns = ("Country", "TimeUTC") if country else ("TimeUTC",)
     ts = as_time(quoted(time_col), obs.schema[time_col].dataType)
-    joined = attach_city(obs, dim, columns)
-    local = local_seconds(epoch_seconds(ts), F.col("TimeUTC"), dim.zones)
+    seconds = epoch_seconds(ts)
+    if dim.table is None:
+        joined = attach_city(obs, dim, columns)
+        local = local_seconds(seconds, F.col("TimeUTC"), dim.zones)
+    else:
+        met = attach_city(obs, dim, (*columns, "zone_number"))
+        joined = with_offset(met, dim.table, seconds, "__offset")
+        local = F.coalesce(seconds + F.col("__offset"), local_seconds(seconds, F.col("TimeUTC"), None))
     # The optimizer copies a projected expression into every filter and condition above it, and
     # the zone shift is the one expensive expression here. It does not do so with the output of
     # a generator, so the shift passes through one and is computed once per row.
@@ -113,4 +128,4 @@ def localize(
             "local_date": seconds_to_date(F.col("__local")),
             "local_hour": seconds_to_hour(F.col("__local")),
         }
-    ).drop("__local")
+    ).drop("__local", "__offset")

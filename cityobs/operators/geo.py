@@ -187,8 +187,10 @@ def _first_step(targets: DataFrame, points: DataFrame, cubes: int) -> DataFrame:
         apart = F.greatest(F.abs(low - F.col(f"low_{a}")) - side - 1e-12, F.lit(0.0))
         near = near + apart**2
         far = far + F.greatest(F.abs(F.col(f"s_{a}") - low), F.abs(F.col(f"s_{a}") - low - side)) ** 2
+    # The one cube of the whole, which the optimizer must not fold: a constant key leaves no key.
+    whole = F.least(F.col(f"h_{_AXES[0]}"), F.lit(0)).cast("long")
     kept = (
-        homes.withColumn("cube", _cube_of_all())
+        homes.withColumn("cube", whole)
         .join(_parts(points, STEP), "cube")
         .withColumns({"near": near, "far": F.min(far).over(Window.partitionBy("home"))})
         .where(F.col("near") <= F.col("far"))
@@ -198,10 +200,6 @@ def _first_step(targets: DataFrame, points: DataFrame, cubes: int) -> DataFrame:
     return _closer(checked_join(at_home, kept, ["home"], cubes << 3 * STEP, row_bytes=96), STEP)
 
 
-def _cube_of_all() -> Column:
-    return F.lit(0).cast("long")
-
-
 def _descend(frontier: DataFrame, points: DataFrame, level: int, cubes: int) -> DataFrame:
     """Replace each kept cube by its occupied parts, and drop the parts that are too far."""
     return _closer(checked_join(frontier, _parts(points, level), ["cube"], cubes), level)

@@ -21,6 +21,25 @@ ZONES = {
 }
 
 
+# Zones of the dimension with many zones, by city number.
+MANY_ZONES = (
+    "Africa/Cairo", "Africa/Casablanca", "Africa/Johannesburg", "Africa/Lagos", "Africa/Nairobi", "Africa/Tunis",
+    "Africa/Windhoek", "America/Anchorage", "America/Argentina/Buenos_Aires", "America/Asuncion", "America/Bogota",
+    "America/Caracas", "America/Chicago", "America/Denver", "America/Guatemala", "America/Halifax", "America/Havana",
+    "America/La_Paz", "America/Lima", "America/Los_Angeles", "America/Managua", "America/Mexico_City",
+    "America/Montevideo", "America/New_York", "America/Panama", "America/Phoenix", "America/Port-au-Prince",
+    "America/Puerto_Rico", "America/Santiago", "America/Sao_Paulo", "America/St_Johns", "America/Toronto",
+    "America/Vancouver", "Asia/Almaty", "Asia/Amman", "Asia/Baghdad", "Asia/Baku", "Asia/Bangkok", "Asia/Beirut",
+    "Asia/Damascus", "Asia/Dhaka", "Asia/Dubai", "Asia/Hong_Kong", "Asia/Jakarta", "Asia/Jerusalem", "Asia/Kabul",
+    "Asia/Karachi", "Asia/Kathmandu", "Asia/Kolkata", "Asia/Manila", "Asia/Riyadh", "Asia/Seoul", "Asia/Shanghai",
+    "Asia/Singapore", "Asia/Tashkent", "Asia/Tbilisi", "Asia/Tehran", "Asia/Tokyo", "Asia/Vladivostok",
+    "Asia/Yerevan", "Atlantic/Azores", "Atlantic/Reykjavik", "Australia/Adelaide", "Australia/Brisbane",
+    "Australia/Darwin", "Australia/Perth", "Australia/Sydney", "Europe/Athens", "Europe/Bucharest", "Europe/Dublin",
+    "Europe/Helsinki", "Europe/Istanbul", "Europe/Kiev", "Europe/Lisbon", "Europe/London", "Europe/Moscow",
+    "Europe/Rome", "Pacific/Auckland", "Pacific/Fiji", "Pacific/Honolulu", "Pacific/Tongatapu",
+)
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
@@ -68,6 +87,23 @@ def observations(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def supplier_readings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``ts, City``, one row per line item; the supplier is the city."""
+    supplier = table(spark, sf_dir, "supplier").select("s_suppkey", "s_name")
+    met = table(spark, sf_dir, "lineitem").join(supplier, F.col("l_suppkey") == F.col("s_suppkey"))
+    return met.select(reading_time().alias("ts"), F.col("s_name").alias("City"))
+
+
+def many_zones(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Suppliers as cities, in all of ``MANY_ZONES`` that their number allows."""
+    zones = F.array(*map(F.lit, MANY_ZONES))
+    return table(spark, sf_dir, "supplier").select(
+        F.col("s_name").alias("City"),
+        F.col("s_nationkey").cast("string").alias("Country"),
+        F.get(zones, (F.col("s_suppkey") * 7 % len(MANY_ZONES)).cast("int")).alias("TimeUTC"),
+    )
+
+
 def measure_tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     """Two measures of line items and one of orders, which end some months earlier."""
     obs = observations(spark, sf_dir).select("ts", "City", "temperature", "pressure")

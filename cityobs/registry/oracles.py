@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from cityobs.registry.adapters import ZONES
+from cityobs.registry.adapters import MANY_ZONES, ZONES
 
 _ZONE_CASES = " ".join(f"WHEN {key} THEN '{name}'" for key, name in ZONES.items())
 
@@ -111,6 +111,19 @@ SELECT CAST(ts AS VARCHAR) AS ts, City, Country, TimeUTC, CAST(local_ts AS VARCH
   CAST(local_ts AS DATE) AS local_date, CAST(hour(local_ts) AS INTEGER) AS local_hour
 FROM loc"""
 
+_MANY_ZONES = f"""
+WITH dim AS (
+  SELECT s_suppkey, s_name AS City, CAST(s_nationkey AS VARCHAR) AS Country,
+    list_extract({list(MANY_ZONES)}, CAST(s_suppkey * 7 % {len(MANY_ZONES)} AS BIGINT) + 1) AS TimeUTC FROM supplier
+), loc AS (
+  SELECT {_READING_TIME} AS ts, City, Country, TimeUTC,
+    timezone(TimeUTC, timezone('UTC', {_READING_TIME})) AS local_ts
+  FROM lineitem JOIN dim ON l_suppkey = s_suppkey
+)
+SELECT CAST(ts AS VARCHAR) AS ts, City, Country, TimeUTC, CAST(local_ts AS VARCHAR) AS local_ts,
+  CAST(local_ts AS DATE) AS local_date, CAST(hour(local_ts) AS INTEGER) AS local_hour
+FROM loc"""
+
 _RAW = f"""
 WITH raw AS (
   SELECT l_linenumber AS n, {_READING_TIME} AS ts, l_quantity AS q,
@@ -328,13 +341,16 @@ FROM (SELECT a.user_id, epoch_us(p.ts) // 1000 - epoch_us(a.ts) // 1000 AS elaps
 SELECT event_type AS query, 'parquet' AS format, 'direct' AS variant,
   CAST(count(*) AS INTEGER) AS runs, round(avg(value), 4) AS avg, round(stddev_pop(value), 4) AS stddev
 FROM events WHERE hour(ts) + 1 > 2 GROUP BY ALL""",
-    "parity_q1": f'SELECT *, {_rows(1, 0)} FROM ({_sunny("loc")}) WHERE "Year" % 2 = 0',
+    "parity_q1": f"""SELECT *, {_rows(1, 0)} FROM ({_sunny("loc")}) WHERE "Year" % 2 = 0
+UNION ALL
+SELECT CAST("Year" + 100 AS INTEGER), City, {_rows(0, 1)} FROM ({_sunny("loc")}) WHERE "Year" % 2 = 0""",
     "parity_q2": f'SELECT "Year", "Month", Country, {_rows(1, 1)} FROM ({_STATS_OUTER}) WHERE "Month" = 6 AND avg_pressure IS NOT NULL',
     "parity_q3": f'SELECT Country, City, {_rows(1, 1)} FROM ({_swing("loc")}) WHERE rank_year = 1',
     "q1_sunny_order": _placed(_sunny("loc"), "*", '"Year", City'),
     "q2_stats_order": _placed(_STATS_OUTER, '"Year", "Month", Country', '"Year", "Month", Country'),
     "q3_swing_order": _placed(_swing("loc"), "*", "Country DESC, difference DESC, City"),
     "local_time_zoned": _LOCAL_TIME,
+    "local_time_many_zones": _MANY_ZONES,
     "csv_headers_differ": _HEADERS,
     "latency_report_list": f"""
 SELECT filename, round(avg(elapsed), 4) AS avg, round(stddev_pop(elapsed), 4) AS stddev,

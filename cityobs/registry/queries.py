@@ -192,6 +192,11 @@ def local_time_large_dimension(spark: SparkSession, sf: str) -> DataFrame:
     return _text_time(localize(obs, dim), "ts", "local_ts")
 
 
+def local_time_many_zones(spark: SparkSession, sf: str) -> DataFrame:
+    """Cities in more zones than a plan may name; changes of clocks are looked up in a table."""
+    return _text_time(localize(data.supplier_readings(spark, sf), data.many_zones(spark, sf)), "ts", "local_ts")
+
+
 def clear_hours(spark: SparkSession, sf: str) -> DataFrame:
     return clear_days(data.observations(spark, sf), data.cities(spark, sf), (3, 4, 5), 1)
 
@@ -457,8 +462,9 @@ def run_stats(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def parity_q1(spark: SparkSession, sf: str) -> DataFrame:
-    """The second result lacks the even years."""
-    other = q1_sunny_cascade(spark, sf).where(F.col("Year") % 2 == 1)
+    """The second result gives the even years a century late."""
+    late = F.when(F.col("Year") % 2 == 0, F.col("Year") + 100).otherwise(F.col("Year"))
+    other = q1_sunny_cascade(spark, sf).withColumn("Year", late)
     return parity(q1_sunny(spark, sf), other, ["Year", "City"])
 
 
@@ -523,6 +529,7 @@ QUERIES: dict[str, Query] = {
         local_time,
         local_time_large_dimension,
         local_time_zoned,
+        local_time_many_zones,
         clear_hours,
         measure_stats_pressure,
         season_means,
