@@ -27,15 +27,28 @@ ELAPSED_SCHEMA = StructType(
 )
 
 
-def _arrivals(events: DataFrame) -> DataFrame:
+def arrivals(events: DataFrame, *more: Column) -> DataFrame:
+    """``flow_uuid, start`` of every arrival, and what else is asked for."""
     return events.where((F.col("event_type") == "RECEIVE") & F.col("flow_uuid").isNotNull()).select(
-        "flow_uuid", F.col("event_time_ms").alias("start")
+        "flow_uuid", F.col("event_time_ms").alias("start"), *more
     )
 
 
-def _deliveries(events: DataFrame) -> DataFrame:
+def deliveries(events: DataFrame, *more: Column) -> DataFrame:
+    """``attr_uuid, filename, end`` of every delivery, and what else is asked for."""
     return events.where((F.col("event_type") == "SEND") & F.col("attr_uuid").isNotNull()).select(
-        "attr_uuid", "filename", (F.col("event_time_ms") + F.col("duration_ms")).alias("end")
+        "attr_uuid", "filename", (F.col("event_time_ms") + F.col("duration_ms")).alias("end"), *more
+    )
+
+
+def elapsed(pairs: DataFrame) -> DataFrame:
+    """Elapsed records of pairs with ``filename, start, end``."""
+    epoch = F.lit("1970-01-01 00:00:00").cast("timestamp_ntz")
+    start = F.timestamp_add("SECOND", F.floor(F.col("start") / 1000), epoch)
+    return pairs.select(
+        "filename",
+        start.cast("string").alias("timestamp"),
+        ((F.col("end") - F.col("start")) / 1000).alias("elapsed"),
     )
 
 
@@ -51,14 +64,7 @@ def pair_events(events: DataFrame, hot_rows: int | None = None) -> DataFrame:
     Adaptive execution splits uuids that make a task too large; ``hot_rows`` splits, on either
     side, every uuid with more rows than that.
     """
-    pairs = split_hot_join(_deliveries(events), _arrivals(events), "attr_uuid", "flow_uuid", hot_rows)
-    epoch = F.lit("1970-01-01 00:00:00").cast("timestamp_ntz")
-    start = F.timestamp_add("SECOND", F.floor(F.col("start") / 1000), epoch)
-    return pairs.select(
-        "filename",
-        start.cast("string").alias("timestamp"),
-        ((F.col("end") - F.col("start")) / 1000).alias("elapsed"),
-    )
+    return elapsed(split_hot_join(deliveries(events), arrivals(events), "attr_uuid", "flow_uuid", hot_rows))
 
 
 def latency_by_file(records: DataFrame) -> DataFrame:
@@ -91,9 +97,9 @@ def ingest_latency(events: DataFrame, hot_rows: int | None = None) -> DataFrame:
     Pooling is centred: the mean of a name comes first, and the distances of its uuids' means to
     it are squared, so that a long delay does not swallow a small spread.
     """
-    arrivals = _arrivals(events).groupBy("flow_uuid").agg(*_moments("start", "in"))
-    deliveries = _deliveries(events).groupBy("attr_uuid", "filename").agg(*_moments("end", "out"))
-    joined = split_hot_join(deliveries, arrivals, "attr_uuid", "flow_uuid", hot_rows)
+    came = arrivals(events).groupBy("flow_uuid").agg(*_moments("start", "in"))
+    went = deliveries(events).groupBy("attr_uuid", "filename").agg(*_moments("end", "out"))
+    joined = split_hot_join(went, came, "attr_uuid", "flow_uuid", hot_rows)
     days = F.col("day_out") - F.col("day_in")
     rest = F.col("rest_out") - F.col("rest_in")
     per_uuid = materialise(

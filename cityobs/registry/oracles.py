@@ -328,6 +328,10 @@ SELECT City, Latitude, Longitude, Country, TimeUTC FROM cities JOIN nearest USIN
     "stream_clean": _CLEAN_TEMPERATURE,
     "elapsed_records": _ELAPSED,
     "elapsed_records_split": _ELAPSED,
+    "elapsed_records_stream": _ELAPSED,
+    "latency_running": f"""
+SELECT filename, round(avg(elapsed), 4) AS avg, round(stddev_pop(elapsed), 4) AS stddev,
+  count(*) AS count FROM ({_ELAPSED}) GROUP BY ALL""",
     "latency_report": f"""
 SELECT filename, round(avg(elapsed), 4) AS avg, round(stddev_pop(elapsed), 4) AS stddev,
   count(*) AS count FROM ({_ELAPSED}) GROUP BY ALL""",

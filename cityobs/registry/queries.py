@@ -22,12 +22,21 @@ from cityobs.plans.stats import measure_stats, monthly_stats
 from cityobs.plans.sunny import clear_days, sunny_periods
 from cityobs.plans.swing import season_readings, seasonal_swing, yearly_swing
 from cityobs.registry import adapters as data
-from cityobs.scratch import scratch_path
+from cityobs.scratch import materialise, scratch_path
 from cityobs.sources.elapsed import read_elapsed, write_elapsed, write_elapsed_lists, write_latency
 from cityobs.sources.layout import Layout
 from cityobs.sources.results import load_result, save_result
 from cityobs.sources.tables import YEAR_COLUMN, publish, read_table, write_table
-from cityobs.streaming import arriving_rows, clean_arrivals, clean_arriving_files, read_cleaned
+from cityobs.streaming import (
+    arriving_events,
+    arriving_rows,
+    clean_arrivals,
+    clean_arriving_files,
+    pair_arrivals,
+    read_cleaned,
+    read_running_latency,
+    running_latency,
+)
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -431,6 +440,37 @@ def latency_report_list(spark: SparkSession, sf: str) -> DataFrame:
     return _rounded(report, 4, "avg", "stddev")
 
 
+#: Steps in which events arrive.
+ARRIVALS = 4
+
+
+def _paired_on_arrival(spark: SparkSession, sf: str) -> str:
+    """All events dealt into steps by their time; every step is paired by a stream that starts again."""
+    events = materialise(data.file_events(spark, sf), "events")
+    shares = [k / ARRIVALS for k in range(1, ARRIVALS)]
+    bounds = events.agg(F.percentile_approx("event_time_ms", F.array(*map(F.lit, shares)))).first()[0]
+    step = sum((F.when(F.col("event_time_ms") > b, 1).otherwise(0) for b in bounds), F.lit(0))
+    folder, records = scratch_path(spark, "events-arriving"), scratch_path(spark, "records")
+    progress = scratch_path(spark, "progress")
+    for k in range(ARRIVALS):
+        events.where(step == k).write.parquet(f"{folder}/step-{k}")
+        pair_arrivals(arriving_events(spark, f"{folder}/*"), records, progress).awaitTermination()
+    return records
+
+
+def elapsed_records_stream(spark: SparkSession, sf: str) -> DataFrame:
+    """As ``elapsed_records``, from two streams that are joined as the events arrive."""
+    return spark.read.parquet(_paired_on_arrival(spark, sf))
+
+
+def latency_running(spark: SparkSession, sf: str) -> DataFrame:
+    """As ``latency_report``, from moments that every batch of arriving records merges into."""
+    records, report = _paired_on_arrival(spark, sf), scratch_path(spark, "running")
+    arriving = spark.readStream.schema(spark.read.parquet(records).schema).option("maxFilesPerTrigger", 3).parquet(records)
+    running_latency(arriving, report, scratch_path(spark, "progress")).awaitTermination()
+    return _rounded(read_running_latency(spark, report), 4, "avg", "stddev")
+
+
 def elapsed_of_users(spark: SparkSession, sf: str) -> DataFrame:
     """Every view of a user with every purchase, pair by pair, with heavy users split on both sides."""
     pairs = pair_events(data.user_events(spark, sf), hot_rows=3)
@@ -560,6 +600,8 @@ QUERIES: dict[str, Query] = {
         elapsed_records,
         elapsed_records_split,
         elapsed_of_users,
+        elapsed_records_stream,
+        latency_running,
         latency_report,
         latency_report_list,
         ingest_latency_by_user,
