@@ -15,7 +15,7 @@ KEYS = ["Year", "Month", "Country"]
 STATISTICS = ("max", "min", "avg", "std_samp", "std_pop")
 
 
-def _month_rows(obs: DataFrame, dim: CityDimension, measures: Sequence[str]) -> DataFrame:
+def month_rows(obs: DataFrame, dim: CityDimension, measures: Sequence[str]) -> DataFrame:
     values = [F.col(m).cast("double").alias(f"value_{i}") for i, m in enumerate(measures)]
     return (
         localize(obs.select("ts", "City", *values), dim)
@@ -42,7 +42,7 @@ def _moments(value: str, measure: str) -> list[Column]:
 
 def _table_stats(obs: DataFrame, dim: CityDimension, measures: Sequence[str]) -> DataFrame:
     """Statistics of several measures of one table: one scan, one zone shift, one aggregation."""
-    rows = _month_rows(obs, dim, measures)
+    rows = month_rows(obs, dim, measures)
     moments = [c for i, m in enumerate(measures) for c in _moments(f"value_{i}", m)]
     seen = sum((quoted(f"__n_{m}") for m in measures), F.lit(0))
     stats = rows.groupBy(*KEYS).agg(*moments).where(seen > 0)

@@ -269,6 +269,7 @@ ORACLES: dict[str, str] = {
     "q2_stats_inner": _STATS_INNER,
     "q2_stats_joined_outer": _STATS_OUTER,
     "q2_stats_joined_inner": _STATS_INNER,
+    "q2_stats_rollup": _STATS_OUTER,
     "q2_stats_wide": _STATS_WIDE,
     "local_time": _LOCAL_TIME,
     "local_time_large_dimension": _LOCAL_TIME,

@@ -17,6 +17,7 @@ from cityobs.operators.parity import TOLERANCE, parity
 from cityobs.operators.ranking import rank_of_picks, rank_spread, rank_within, top_within
 from cityobs.operators.reshape import to_long, to_wide
 from cityobs.operators.runs import summarize_runs
+from cityobs.plans import rollup
 from cityobs.plans.ingest import clean_cities
 from cityobs.plans.stats import measure_stats, monthly_stats
 from cityobs.plans.sunny import clear_days, sunny_periods
@@ -137,6 +138,21 @@ def q2_stats_joined_inner(spark: SparkSession, sf: str) -> DataFrame:
     return _stats(spark, sf, "inner", "joined")
 
 
+def q2_stats_rollup(spark: SparkSession, sf: str) -> DataFrame:
+    """As ``q2_stats_outer``, from states of three batches, one of them added again, two of them compacted."""
+    tables, dim = data.measure_tables(spark, sf), city_dimension(data.cities(spark, sf))
+    root, measures = scratch_path(spark, "rollup"), list(tables)
+    cuts = [F.lit(f"{year}-06-15 00:00:00").cast("timestamp_ntz") for year in (1998, 2000)]
+    parts = (F.col("ts") < cuts[0], (F.col("ts") >= cuts[0]) & (F.col("ts") < cuts[1]), F.col("ts") >= cuts[1])
+    for number in (0, 1, 1, 2):
+        shared = {id(df): df.where(parts[number]) for df in tables.values()}
+        rollup.add_batch({m: shared[id(df)] for m, df in tables.items()}, dim, root, number)
+        if number == 1:
+            rollup.compact(spark, root, measures, 0)
+    rollup.compact(spark, root, measures, 1)
+    return _rounded(rollup.rolled_up_stats(spark, root, measures), 4, "std_")
+
+
 def q2_stats_wide(spark: SparkSession, sf: str) -> DataFrame:
     tables = {
         m: to_long(to_underscores(_wide(spark, sf, m)), m) for m in ("temperature", "pressure")
@@ -564,6 +580,7 @@ QUERIES: dict[str, Query] = {
         q2_stats_inner,
         q2_stats_joined_outer,
         q2_stats_joined_inner,
+        q2_stats_rollup,
         q2_stats_wide,
         q2_stats_order,
         local_time,
