@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from cityobs.functions.localtime import as_time, epoch_seconds
 from cityobs.functions.names import identifier, quoted, to_underscores
+from cityobs.operators.checksums import parity_by_ranges
 from cityobs.operators.clean import clean_city, clean_description, clean_measure
 from cityobs.operators.dimension import city_dimension, localize
 from cityobs.operators.geo import nearest_place
@@ -553,6 +554,21 @@ def parity_repeated_keys(spark: SparkSession, sf: str) -> DataFrame:
     return parity(a, a.withColumn("l_quantity", changed), ["l_orderkey"])
 
 
+def parity_by_checksums(spark: SparkSession, sf: str) -> DataFrame:
+    """As ``parity_repeated_keys``, by checksums of ranges of keys first."""
+    a = data.table(spark, sf, "lineitem").select("l_orderkey", "l_quantity")
+    changed = F.when(F.col("l_quantity") == 49, 50.0).otherwise(F.col("l_quantity"))
+    return parity_by_ranges(a, a.withColumn("l_quantity", changed), ["l_orderkey"])
+
+
+def parity_few_changes(spark: SparkSession, sf: str) -> DataFrame:
+    """Orders against the same with the cheapest ones a cent dearer: few ranges of keys are looked into."""
+    a = data.table(spark, sf, "orders").select("o_orderkey", "o_custkey", "o_totalprice")
+    dearer = F.when(F.col("o_totalprice") < 1010, F.col("o_totalprice") + 0.01).otherwise(F.col("o_totalprice"))
+    found = parity_by_ranges(a, a.withColumn("o_totalprice", dearer), ["o_orderkey", "o_custkey"])
+    return found.select("o_orderkey", "o_custkey", "rows_a", "rows_b", F.round("o_totalprice_a", 2).alias("price"))
+
+
 def parity_report(spark: SparkSession, sf: str) -> DataFrame:
     """Two tables that do differ: mean pressure per city and day, all readings or clear ones."""
     obs = data.observations(spark, sf).withColumn("day", F.col("ts").cast("date"))
@@ -628,6 +644,8 @@ QUERIES: dict[str, Query] = {
         parity_q2,
         parity_q3,
         parity_repeated_keys,
+        parity_by_checksums,
+        parity_few_changes,
         parity_report,
     )
 }
