@@ -12,10 +12,9 @@ that must pass three levels 4 of 2,000,000 were missed at 0.85 (15 trees) and 1
 What a node finds is compared by 128-bit sketches first, then on the full sets. To keep work linear
 in groups of near copies, every document is first confirmed against the smallest id of its nodes;
 other pairs are confirmed only between documents that this has not brought together. Documents of
-nodes that are still large at the greatest depth lie in dense groups, where comparing everything
-would be quadratic. Among them an exact join finds the rest: shingles are ordered by rarity, two sets
-that are linked share one of their rarest shingles early enough in both for the overlap that they
-need, and only documents of different classes are paired.
+nodes that are still large at the greatest depth lie in dense groups, whose documents are nearly
+as alike as links need. They are compared exactly, block by block: no pair of them is a row, and
+what a task gives are the links that bring classes together, fewer than it has documents.
 
 Lower-cased are A to Z; words are runs of anything but ASCII white space. Defined cases: a text
 without words (or null) has an empty set and is linked with nothing; fewer words than five are one
@@ -52,6 +51,8 @@ MISSED = 1e-6
 SPARE = 3
 #: Documents that one task compares with one centre.
 CHUNK = 500
+#: Hashes of a block of documents that trees do not part; a longer set is a block of its own.
+BLOCK_HASHES = 50_000
 #: Bits of the filter by which texts are read for confirmation.
 FILTER_BITS = 1 << 23
 
@@ -370,9 +371,7 @@ def link(docs: DataFrame, percent: int = PERCENT) -> tuple[DataFrame, DataFrame]
     if not rest.isEmpty():
         labels = _merge(labels, materialise(confirm(rest, texts, percent), "other-links"))
     if dense is not None and not dense.isEmpty():
-        found = materialise(_dense_pairs(materialise(dense.select("id").distinct(), "dense"), labels, texts, percent), "dense-pairs")
-        if not found.isEmpty():
-            labels = _merge(labels, materialise(confirm(found, texts, percent), "dense-links"))
+        labels = _merge(labels, materialise(_dense_links(dense.select("node", "id"), labels, texts, percent), "dense-links"))
     return members, labels
 
 
@@ -383,51 +382,104 @@ def _union(frames: list[DataFrame]) -> DataFrame:
     return out
 
 
-def _tokens(sets: DataFrame) -> DataFrame:
-    """``id``, ``n`` and each ``token`` of sets."""
+class _Linked:
+    """Documents of a block with the classes that they are known to be in."""
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for k, blob in enumerate(batch.column(1).to_pylist()):
-                found = np.frombuffer(blob, np.int64)
-                if not len(found):
-                    continue
-                ids = batch.column(0).take(pa.array(np.full(len(found), k)))
-                sizes = pa.array(np.full(len(found), len(found)), pa.int64())
-                yield pa.RecordBatch.from_arrays([ids, sizes, pa.array(found)], names=["id", "n", "token"])
+    def __init__(self, labels: list):
+        place = {label: k for k, label in enumerate(dict.fromkeys(labels))}
+        self.of = [place[x] for x in labels]
+        self.up = list(range(len(place)))
+
+    def find(self, k: int) -> int:
+        k = self.of[k]
+        while self.up[k] != k:
+            self.up[k] = self.up[self.up[k]]
+            k = self.up[k]
+        return k
 
-    kind = sets.schema["id"].dataType.simpleString()
-    return sets.mapInArrow(run, f"id {kind}, n long, token long")
+    def join(self, a: int, b: int) -> bool:
+        """Whether this brings two classes together."""
+        a, b = self.find(a), self.find(b)
+        self.up[max(a, b)] = min(a, b)
+        return a != b
 
 
-def _dense_pairs(ids: DataFrame, labels: DataFrame, texts: DataFrame, percent: int = PERCENT) -> DataFrame:
-    """Pairs of documents of different classes that may be linked, by an exact prefix filter.
+def block_links(first: list[np.ndarray], second: list[np.ndarray], labels: list, percent: int) -> list[tuple[int, int]]:
+    """Links between two blocks of sets (or within one, if the second is empty) that bring classes together.
 
-    With shingles in the order of their rarity, sets of sizes m and n that need k in common hold
-    their first common one no later than leaves k in both. In each shingle's group only documents
-    outside its largest class are paired, so a group of one class makes no pair.
+    ``labels`` are those of both blocks; the numbers of the second go on after the first. Common
+    hashes of a set and all sets of the first block are counted at once, from the places of its
+    hashes in the sorted hashes of that block.
     """
-    sets = _sets(texts, ids).join(ids, "id", "left_semi")
-    tokens = materialise(_tokens(sets), "dense-tokens").distinct()
-    counts = tokens.groupBy("token").agg(F.count("*").alias("held"))
-    order = Window.partitionBy("id").orderBy("held", "token")
-    ranked = tokens.join(counts, "token").withColumn("pos", F.row_number().over(order))
-    longest = F.col("n") - F.ceil(F.col("n") * percent / 100) + 1
-    first = ranked.where((F.col("pos") <= longest) & (F.col("held") > 1)).select("token", "id", "n", "pos")
-    rows = materialise(_labelled(first, labels, "id", "label"), "dense-prefixes")
-    classes = rows.groupBy("token", "label").agg(F.count("*").alias("size"))
-    main = classes.groupBy("token").agg(F.max(F.struct("size", "label"))["label"].alias("main"), F.count("*").alias("classes"))
-    outside = (
-        rows.join(main.where(F.col("classes") > 1).select("token", "main"), "token")
-        .where(F.col("label") != F.col("main"))
-        .select("token", *(F.col(c).alias(f"c_{c}") for c in ("id", "n", "pos", "label")))
+    others = second or first
+    shift = len(first) if second else 0
+    linked, found = _Linked(labels), []
+    sizes = np.array([len(x) for x in first], np.int64)
+    owner = np.repeat(np.arange(len(first)), sizes)
+    hashes = np.concatenate(first)
+    order = np.argsort(hashes, kind="stable")
+    hashes, owner = hashes[order], owner[order]
+    for b, own in enumerate(others):
+        low, high = np.searchsorted(hashes, own), np.searchsorted(hashes, own, "right")
+        times = high - low
+        where = np.repeat(low - np.cumsum(times) + times, times) + np.arange(times.sum())
+        common = np.bincount(owner[where], minlength=len(first))
+        near = 100 * common >= percent * (sizes + len(own) - common)
+        for a in np.flatnonzero(near if second else near[:b]).tolist():
+            if linked.join(a, shift + b):
+                found.append((a, shift + b))
+    return found
+
+
+def _dense_links(dense: DataFrame, labels: DataFrame, texts: DataFrame, percent: int = PERCENT) -> DataFrame:
+    """Links that bring classes together among documents that the trees do not part.
+
+    Documents of a node, and of nodes that share documents, are a group. A group is cut into blocks
+    of about ``BLOCK_HASHES`` hashes, and every two blocks meet in one task, which compares all of
+    their sets. So a set travels once for each block of its group, no pair of documents is a row, and a task
+    gives fewer links than it has documents.
+    """
+    least = dense.groupBy("node").agg(F.min("id").alias("a"))
+    groups = components(dense.select("node", F.col("id").alias("b")).join(least, "node").select("a", "b").distinct())
+    groups = groups.withColumnRenamed("label", "group")
+    sets = _sets(texts, groups.select("id")).join(groups, "id").dropDuplicates(["id", "set"])
+    sets = materialise(_labelled(sets, labels, "id", "label").select("id", "group", "label", "set"), "dense-sets")
+    blocks = sets.groupBy("group").agg(
+        F.ceil(F.sum(F.octet_length("set")) / (8 * BLOCK_HASHES)).cast("int").alias("blocks"),
+        F.count_distinct("label").alias("classes"),
+    )
+    own = F.pmod(F.xxhash64("id"), "blocks").cast("int")
+    met = sets.join(blocks.where("classes > 1"), "group").withColumn("own", own)
+    met = met.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    rows = met.select(
+        "group", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), (F.col("own") > F.col("other")).alias("later"), "id", "label", "set"
     )
-    both = F.col("n") + F.col("c_n")
-    needed = F.ceil(both * percent / (100 + percent))
-    possible = F.least(F.col("n") - F.col("pos"), F.col("c_n") - F.col("c_pos")) + 1
-    sizes = F.least("n", "c_n") * 100 >= F.greatest("n", "c_n") * percent
-    pairs = rows.join(outside, "token").where((F.col("label") != F.col("c_label")) & sizes & (possible >= needed))
-    return pairs.select(F.least("id", "c_id").alias("a"), F.greatest("id", "c_id").alias("b")).distinct()
+
+    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        at, sides = None, ([], [])
+
+        def done() -> pa.RecordBatch:
+            both = sides[0] + sides[1]
+            first, second = ([np.frombuffer(x[2], np.uint64) for x in side] for side in sides)
+            # Two different blocks of which one is empty have been compared where each meets itself.
+            alone = at is not None and at[1] != at[2] and not (first and second)
+            found = block_links(first, second, [x[1] for x in both], percent) if first and not alone else []
+            return pa.RecordBatch.from_arrays([pa.array([both[x[k]][0] for x in found], kind) for k in (0, 1)], names=["a", "b"])
+
+        for batch in batches:
+            kind = batch.column(4).type
+            for group, i, j, later, doc, label, blob in zip(*(batch.column(k).to_pylist() for k in range(7)), strict=True):
+                if (group, i, j) != at:
+                    if at is not None:
+                        yield done()
+                    at, sides = (group, i, j), ([], [])
+                sides[later].append((doc, label, blob))
+        if at is not None:
+            yield done()
+
+    kind = texts.schema["id"].dataType.simpleString()
+    dealt = rows.repartition("group", "i", "j").sortWithinPartitions("group", "i", "j", "later", "id")
+    return dealt.mapInArrow(compare, f"a {kind}, b {kind}")
 
 
 def near_duplicates(df: DataFrame, id_col: str = "doc_id", text: str = "text", percent: int = PERCENT) -> DataFrame:

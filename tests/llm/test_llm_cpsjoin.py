@@ -16,7 +16,7 @@ def sets_of(rows):
     return out
 
 
-def expected(rows):
+def expected(rows, percent=85):
     """Components over all pairs; rows that share an id are one document."""
     sets, parent = sets_of(rows), {i: i for i, _ in rows if i is not None}
 
@@ -28,7 +28,7 @@ def expected(rows):
     for a in range(len(rows)):
         for b in range(a):
             x, y = sets[a], sets[b]
-            if x and y and None not in (rows[a][0], rows[b][0]) and 100 * len(x & y) >= 85 * len(x | y):
+            if x and y and None not in (rows[a][0], rows[b][0]) and 100 * len(x & y) >= percent * len(x | y):
                 i, j = sorted((root(rows[a][0]), root(rows[b][0])))
                 parent[j] = i
     return sorted(
@@ -75,18 +75,64 @@ def test_dense_groups_are_joined_exactly(table, make_prose, monkeypatch):
     assert found(table(rows)) == expected(rows)
 
 
-def test_dense_pairs_lose_no_link_between_classes(spark, table, make_prose):
+def merged(ids, links, labels=None):
+    """Smallest id that each reaches over links and equal labels."""
+    reached = {i: i for i in ids}
+    pairs = [*links, *((i, j) for i in ids for j in ids if labels and labels[i] == labels[j])]
+    for _ in ids:
+        for a, b in pairs:
+            reached[a] = reached[b] = min(reached[a], reached[b])
+    return reached
+
+
+@pytest.mark.parametrize("block", [50_000, 300])
+def test_dense_links_lose_no_link_between_classes(spark, table, make_prose, monkeypatch, block):
+    monkeypatch.setattr(cpsjoin, "BLOCK_HASHES", block)
     texts = near_copies(3, 50, 30, 4, make_prose)
     rows = list(enumerate(texts))
     sets = sets_of(rows)
     linked = {(b, a) for a in range(30) for b in range(a) if 100 * len(sets[a] & sets[b]) >= 85 * len(sets[a] | sets[b])}
     docs = table(rows).selectExpr("doc_id AS id", "text")
+    nodes = docs.selectExpr("CAST(id > 14 AS long) AS node", "id").union(docs.where("id IN (3, 20)").selectExpr("7L", "id"))
     none = spark.createDataFrame([], "id long, label long")
-    got = {(r["a"], r["b"]) for r in cpsjoin._dense_pairs(docs.select("id"), none, docs).collect()}
-    assert linked <= got
+    got = [tuple(r) for r in cpsjoin._dense_links(nodes, none, docs).collect()]
+    assert {tuple(sorted(x)) for x in got} <= linked and merged(range(30), got) == merged(range(30), linked)
     halves = spark.createDataFrame([(i, i % 2) for i in range(30)], "id long, label long")
-    got = {(r["a"], r["b"]) for r in cpsjoin._dense_pairs(docs.select("id"), halves, docs).collect()}
-    assert {(a, b) for a, b in linked if a % 2 != b % 2} <= got and all(a % 2 != b % 2 for a, b in got)
+    got = [tuple(r) for r in cpsjoin._dense_links(nodes, halves, docs).collect()]
+    label = {i: i % 2 for i in range(30)}
+    assert merged(range(30), got, label) == merged(range(30), linked, label) and got
+
+
+@pytest.mark.parametrize("two", [False, True])
+def test_links_of_blocks_equal_all_pairs(two):
+    pick = np.random.default_rng(4)
+    base = np.unique(pick.integers(1, 1 << 63, 80, dtype=np.uint64))
+    some = [np.unique(np.concatenate([base[pick.random(80) < 0.93], pick.integers(1, 1 << 63, 5, dtype=np.uint64)])) for _ in range(60)]
+    first, second = (some[:25], some[25:]) if two else (some, [])
+    close = lambda x, y: 100 * len(np.intersect1d(x, y)) >= 80 * len(np.union1d(x, y))
+    wanted = [(a, b) for a in range(60) for b in range(a + 1, 60) if close(some[a], some[b]) and (not two or a < 25 <= b)]
+    got = cpsjoin.block_links(first, second, list(range(60)), 80)
+    assert set(got) <= set(wanted) and len(got) < 60 < len(wanted) and merged(range(60), got) == merged(range(60), wanted)
+
+
+def test_work_on_a_dense_group_grows_with_its_documents(spark, table, make_prose):
+    """Copies of one text with three words changed in each, few of which are linked at 0.8."""
+    given = {}
+    for n in (150, 300):
+        texts = near_copies(9, 200, n, 0, make_prose)
+        pick = random.Random(n)
+        rows = []
+        for k, t in enumerate(texts):
+            w = t.split(" ")
+            for at in pick.sample(range(200), 3):
+                w[at] = f"y{k}x{at}"
+            rows.append((k, " ".join(w)))
+        docs = table(rows).selectExpr("doc_id AS id", "text")
+        _, labels = cpsjoin.link(docs, 80)
+        given[n] = labels.count()
+        wanted = {i: r for i, _, r, _ in expected(rows, 80)}
+        assert {r["doc_id"]: r["component_id"] for r in cpsjoin.near_duplicates(table(rows), percent=80).collect()} == wanted
+    assert given[300] <= 300
 
 
 def test_pairs_at_the_threshold_are_met():

@@ -127,7 +127,7 @@ def test_pipeline_equals_its_stages_in_plain_python(spark, duck):
     rows = {i: r for i, r in rows.items() if model.score(r[1]) >= 0.5}
     lines = cleaned([(i, r[1], r[3]) for i, r in rows.items()], 5)
     texts = {i: text for i, text, n, gone in lines if not gone or gone < n}
-    keep = {i for i, _, _, kept in groups(list(texts.items())) if kept}
+    keep = {i for i, _, _, kept in groups(list(texts.items()), corpus_pipeline.NEAR_PERCENT) if kept}
     clean = {i for i, _, hit, _ in hits([(i, texts[i]) for i in keep], duck.execute("SELECT * FROM benchmark").fetchall(), 10) if not hit}
     got = {r["doc_id"]: r for r in corpus_pipeline.run(spark, SMALL).collect()}
     assert set(got) == clean and 0 < len(clean) < 200
