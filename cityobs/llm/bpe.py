@@ -16,6 +16,7 @@ from __future__ import annotations
 import json
 import os
 import re
+import struct
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -26,8 +27,8 @@ from pyspark.sql import types as T
 
 #: Characters that one call of the tokenizer gets, as its result takes over 100 bytes a token.
 CHUNK_CHARS = 500_000
-#: Parts whose ids a Python worker remembers; beyond it starts anew.
-REMEMBERED = 200_000
+#: Parts whose ids a Python worker remembers, twice: beyond it starts anew, and takes over what is still in use.
+REMEMBERED = 250_000
 #: Rows whose ids are taken out of Arrow at once.
 DECODED_ROWS = 100
 
@@ -89,9 +90,11 @@ class _Encoder:
 
     def __init__(self, path: str, offsets: bool):
         self.tokenizer = _tokenizer(path)
+        self.old: tuple[dict[str, bytes], dict[str, bytes]] = {}, {}
         self.known: dict[str, bytes] = {}
         self.spans: dict[str, bytes] = {}
         self.offsets = offsets
+        self.merge, self.characters = self.tokenizer.model.tokenize, byte_table()
         marks = self.tokenizer.encode_batch([".", ","], add_special_tokens=False)
         self.marks = {m: np.array(e.ids, np.int32).tobytes() for m, e in zip(".,", marks, strict=True)}
 
@@ -100,8 +103,22 @@ class _Encoder:
         if self.offsets:
             self.spans[part] = spans.tobytes()
 
+    def plain(self, part: str) -> bool:
+        """Whether a part is letters only, whose characters can be told from the bytes."""
+        return part.isalpha() and (part.isascii() or not self.offsets and max(part) < "\u0250")
+
     def learn(self, new: list[str]) -> None:
-        """Parts that end in no white space are joined, as each ends where the next begins."""
+        """Letters are one match with the space before them and go to the library's model at once.
+
+        Of the others, parts that end in no white space are joined, as each ends where the next begins.
+        """
+        for x in filter(self.plain, new):
+            tokens = self.merge((b" " + x.encode()).decode("latin-1").translate(self.characters))
+            self.known[x] = struct.pack(f"={len(tokens)}i", *[t.id for t in tokens])
+            if self.offsets:
+                ends = np.cumsum([len(t.value) for t in tokens], dtype=np.int32)
+                self.spans[x] = np.stack([ends - [len(t.value) for t in tokens], ends], axis=1).astype(np.int32).tobytes()
+        new = [x for x in new if not self.plain(x)]
         several = [x for x in new if not x[-1].isspace()]
         single = [x for x in new if x[-1].isspace()]
         groups = [several[i : i + 500] for i in range(0, len(several), 500)] + [[x] for x in single]
@@ -119,14 +136,23 @@ class _Encoder:
         cut = [parts(t) for t in texts]
         first = self.tokenizer.encode_batch([ps[0] for ps in cut], add_special_tokens=False)
         rest = [ps[1:] for ps in cut]
+        if len(self.known) > REMEMBERED:
+            self.old, self.known, self.spans = (self.known, self.spans), {}, {}
         known, spans = self.known, self.spans
-        if len(known) > REMEMBERED:
-            known.clear()
-            spans.clear()
         new = set().union(*rest).difference(known)
+        again = new.intersection(self.old[0])
+        for mine, before in zip((known, spans), self.old, strict=True):
+            mine.update((x, before[x]) for x in again if x in before)
+        new -= again
         ended = [p for p in new if len(p) > 1 and p[-1] in self.marks and p[-2].isalpha()]
         new.difference_update(ended)
-        new.update(p[:-1] for p in ended if p[:-1] not in known)
+        for p in {p[:-1] for p in ended} - known.keys():
+            if p in self.old[0]:
+                known[p] = self.old[0][p]
+                if self.offsets:
+                    spans[p] = self.old[1][p]
+            else:
+                new.add(p)
         self.learn(sorted(new))
         for p in ended:  # a full stop or comma after a letter is a match of its own
             known[p] = known[p[:-1]] + self.marks[p[-1]]
@@ -209,16 +235,23 @@ def decode(
     at = df.columns.index(ids)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        table = dict(enumerate(_token_bytes(vocabulary))) | dict.fromkeys(special, b"")
+        table = list(_token_bytes(vocabulary))
+        table += [b""] * (max(special, default=-1) + 1 - len(table))
+        lengths = np.array([len(x) for x in table])
+        starts = np.cumsum(lengths) - lengths
+        data = np.frombuffer(b"".join(table), np.uint8)
+        lengths[list(special)] = 0
         for batch in batches:
             for start in range(0, batch.num_rows, DECODED_ROWS):
                 some = batch.slice(start, DECODED_ROWS)
                 column = some.column(at)
-                values = column.flatten().to_pylist()  # of rows that are not null
-                done, k = [], 0
-                for n in column.value_lengths().to_pylist():
-                    done.append(b"".join(map(table.__getitem__, values[k : k + (n or 0)])))
-                    k += n or 0
-                yield pa.RecordBatch.from_arrays([*some.columns, pa.array(done, pa.binary())], names=schema.fieldNames())
+                values = column.flatten().to_numpy()  # of rows that are not null
+                n = lengths[values]
+                ends = np.concatenate([[0], np.cumsum(n)])
+                where = np.repeat(starts[values] - ends[:-1], n) + np.arange(ends[-1])
+                counts = np.array([k or 0 for k in column.value_lengths().to_pylist()], np.int64)
+                cuts = ends[np.concatenate([[0], np.cumsum(counts)])].astype(np.int64)
+                done = pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(some), [None, pa.py_buffer(cuts), pa.py_buffer(data[where])])
+                yield pa.RecordBatch.from_arrays([*some.columns, done.cast(pa.binary())], names=schema.fieldNames())
 
     return df.mapInArrow(run, schema)

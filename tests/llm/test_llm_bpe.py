@@ -27,6 +27,19 @@ def test_ids_and_bytes_of_odd_texts(table, odd, plain):
     assert all(r["n"] == 7 and r["id"] == "own" for r in done)
 
 
+@pytest.mark.parametrize("offsets", [True, False])
+def test_remembered_parts_change_nothing(monkeypatch, plain, offsets):
+    monkeypatch.setattr(bpe, "REMEMBERED", 40)
+    monkeypatch.setattr(bpe, "CHUNK_CHARS", 100)
+    pick, encoder = random.Random(8), bpe._Encoder(PATH, offsets)
+    vocabulary = [*"été Words naïve don't x. end, ok. Été ñandú 東京 a,b ﬁne ok end x".split(), *(f"w{k % 30}" for k in range(60)), *(chr(97 + k) * 3 for k in range(26))]
+    texts = [" ".join(pick.choices(vocabulary, k=12)) for _ in range(200)]
+    whole = bpe._tokenizer(PATH).encode_batch(texts, add_special_tokens=False)
+    for text, (ids, spans), e in zip(texts, encoder(texts), whole, strict=True):
+        assert ids.tolist() == plain.encode_ordinary(text)
+        assert not offsets or [tuple(x) for x in spans.tolist()] == e.offsets
+
+
 def test_random_texts_match_the_plain_library(plain):
     pick = random.Random(3)
     alphabet = "aB z.,'\n\t  é9_  東🙂\r!?|<>s"
