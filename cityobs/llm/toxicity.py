@@ -1,7 +1,7 @@
 """Toxic passages: maximum-scoring segments of token log-odds, with extreme-value calibration.
 
 Every token of a text gets the log-odds of toxic against other training texts under a Dirichlet
-prior (the prior counts follow the tokens' overall shares). A token is a word, or the beginning of
+prior (half a count each, and more by the tokens' overall shares). Copies among the training texts count once. A token is a word, or the beginning of
 a word too rare in the training texts to be judged whole. One pass over the scores finds all
 disjoint maximum-scoring segments. How high the best segment of a clean text of n tokens gets by
 chance follows an extreme-value distribution, whose two parameters are fitted on clean texts left
@@ -17,6 +17,7 @@ from __future__ import annotations
 
 import math
 import re
+import zlib
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass, field
@@ -35,8 +36,10 @@ MIN_COUNT = 8
 BEGINNINGS = (7, 6, 5, 4)
 #: Standard deviations from zero at which log-odds count nothing.
 DOUBT = 2.0
-#: Total of the Dirichlet prior's counts.
-PRIOR = 500.0
+#: The Dirichlet prior's count of each unit, and what the units share out by their frequency besides.
+LEAST_PRIOR, PRIOR = 0.5, 500.0
+#: Smallest word hashes that near copies among the training texts have in common.
+COPY_HASHES = 6
 #: Chance of the best segment of a clean text at which a segment is reported.
 SIGNIFICANCE = 0.05
 #: Words whose scores a Python worker remembers.
@@ -149,7 +152,7 @@ def log_odds(texts: list[set[str]], labels: np.ndarray) -> tuple[dict[str, float
     size, n0, n1 = sum(total.values()), sum(by[0].values()), sum(by[1].values())
     odds = {}
     for u, n in total.items():
-        a = PRIOR * n / size
+        a = LEAST_PRIOR + PRIOR * n / size
         p1, p0 = by[1][u] + a, by[0][u] + a
         value = math.log(p1 / (n1 + PRIOR - p1)) - math.log(p0 / (n0 + PRIOR - p0))
         z = value / math.sqrt(1 / p1 + 1 / p0)
@@ -167,11 +170,30 @@ def _drift(odds: dict[str, float], other: float, texts: list[list[str]]) -> tupl
     return {u: float(v - shift) for u, v in odds.items()}, other - shift
 
 
+#: Where the median and the upper tenth of Gumbel's law lie.
+_GUMBEL = tuple(-math.log(-math.log(p)) for p in (0.5, 0.9))
+
+
+def _without_copies(samples: list[tuple[str, int]]) -> list[tuple[str, int]]:
+    """The first text of each group of copies and near copies of one label: a copied text is one
+    piece of evidence, and one that lies in several folds would make them tell of each other."""
+    seen, out = set(), []
+    for text, y in samples:
+        words = {zlib.crc32(w.encode("utf-8", "surrogatepass")) for w in WORD.findall(text.lower())}
+        key = y, tuple(sorted(words)[:COPY_HASHES])
+        if key not in seen:
+            seen.add(key)
+            out.append((text, y))
+    return out
+
+
 def fit(samples: list[tuple[str, int]], folds: int = 3) -> Model:
     labels = np.array([y for _, y in samples], int)
     if len(set(labels.tolist())) < 2:
         share = (labels.sum() + 0.5) / (len(labels) + 1)
         return Model({}, 0.0, slope=0.0, offset=math.log(share / (1 - share)))
+    samples = _without_copies(samples)
+    labels = np.array([y for _, y in samples], int)
     texts = [WORD.findall(text.lower()) for text, _ in samples]
 
     def part(which: np.ndarray) -> Model:
@@ -205,24 +227,22 @@ def fit(samples: list[tuple[str, int]], folds: int = 3) -> Model:
 
 
 def _extreme_value(best: list[float], lengths: list[int]) -> tuple[float, float]:
-    """Decay and level of P(best > s) = 1 - exp(-n exp(level - decay s)), by fixed-point likelihood.
+    """Decay and level of P(best > s) = 1 - exp(-n exp(level - decay s)), by two quantiles.
 
-    With y = s - log(n) / decay the law is Gumbel's with scale 1 / decay.
+    With y = s - log(n) / decay the law is Gumbel's with scale 1 / decay; its median and its upper
+    tenth give both parameters, whatever a few texts far out are like.
     """
     s, log_n = np.array(best), np.log(np.maximum(lengths, 1))
     if len(s) < 5 or s.std() < 1e-6:
         return 1.0, 0.0
-    decay = 1.28 / s.std()
+    decay = 1.0
     for _ in range(100):
-        y = s - log_n / decay
-        w = np.exp(-decay * (y - y.min()))
-        scale = max(float(y.mean() - (y * w).sum() / w.sum()), 1e-3)
-        new = min(max(1 / scale, 0.05), 5.0)
+        middle, upper = np.quantile(s - log_n / decay, [0.5, 0.9])
+        new = min(max((_GUMBEL[1] - _GUMBEL[0]) / max(upper - middle, 1e-3), 0.2), 5.0)
         if abs(new - decay) < 1e-6:
             break
         decay = 0.5 * (decay + new)
-    y = s - log_n / decay
-    mode = y.min() - math.log(float(np.exp(-decay * (y - y.min())).mean())) / decay
+    mode = np.quantile(s - log_n / decay, 0.5) - _GUMBEL[0] / decay
     return float(decay), float(decay * mode)
 
 

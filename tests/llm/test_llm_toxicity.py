@@ -1,6 +1,8 @@
 import random
+import zlib
 
 import numpy as np
+import pyarrow.parquet as pq
 import pytest
 
 from llm_cases import odd, table  # noqa: F401
@@ -75,3 +77,24 @@ def test_forgetting_words_changes_nothing(monkeypatch):
     before = [model.score(t) for t, _ in texts(20, seed=9)]
     monkeypatch.setattr(toxicity, "REMEMBERED", 5)
     assert [model.score(t) for t, _ in texts(20, seed=9)] == before
+
+
+@pytest.mark.parametrize(("n", "caught", "left_alone"), [(500, 0.4, 0.97), (1000, 0.75, 0.97), (3000, 0.88, 0.97)])
+def test_recall_on_left_out_labels(n, caught, left_alone):
+    folder = "/root/testdata/sf0.1"
+    docs = pq.read_table(f"{folder}/documents.parquet", columns=["doc_id", "text"]).to_pydict()
+    text = dict(zip(docs["doc_id"], docs["text"], strict=True))
+    labels = pq.read_table(f"{folder}/labels.parquet", columns=["doc_id", "toxic"]).to_pydict()
+    fold = lambda i: zlib.crc32(str(i).encode()) % 5
+    known = sorted((zlib.crc32(b"x%d" % i), i, y) for i, y in zip(labels["doc_id"], labels["toxic"], strict=True) if y is not None)
+    model = toxicity.fit([(text[i], y) for _, i, y in known if fold(i)][:n])
+    out = [(model.score(text[i]) >= 0.5, y) for _, i, y in known if not fold(i)]
+    assert sum(hit for hit, y in out if y) >= caught * sum(y for _, y in out)
+    assert sum(not hit for hit, y in out if not y) >= left_alone * sum(not y for _, y in out)
+
+
+def test_copies_are_one_piece_of_evidence():
+    some = [("a fine day for a walk in the park", 0), ("you are a nasty toad", 1)]
+    assert toxicity._without_copies([*some, *some, some[1]]) == some
+    many = toxicity.fit([(f"{t} w{k}", y) for k in range(40) for t, y in some] + [("a fine day for a walk in the park x", 1)] * 500)
+    assert many.score("a fine day for a walk") < 0.5 < many.score("what a nasty toad you are")
