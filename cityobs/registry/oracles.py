@@ -371,7 +371,7 @@ SELECT event_type AS filename, count(*) AS count, round(2592000 + avg(event_id %
     "parity_repeated_keys": _CHANGED,
     "parity_by_checksums": _CHANGED,
     "parity_few_changes": f"""
-SELECT o_orderkey, o_custkey, {_rows(1, 1)}, round(o_totalprice, 2) AS price FROM orders WHERE o_totalprice < 1010""",
+SELECT o_orderkey, o_custkey, {_rows(1, 1)}, round(o_totalprice, 2) AS price FROM orders WHERE o_totalprice < 2000""",
     "parity_report": f"""{_BASE}, a AS (
   SELECT City, CAST(ts AS DATE) AS day, avg(pressure) AS mean FROM obs GROUP BY ALL
 ), b AS (

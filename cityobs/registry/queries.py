@@ -564,7 +564,7 @@ def parity_by_checksums(spark: SparkSession, sf: str) -> DataFrame:
 def parity_few_changes(spark: SparkSession, sf: str) -> DataFrame:
     """Orders against the same with the cheapest ones a cent dearer: few ranges of keys are looked into."""
     a = data.table(spark, sf, "orders").select("o_orderkey", "o_custkey", "o_totalprice")
-    dearer = F.when(F.col("o_totalprice") < 1010, F.col("o_totalprice") + 0.01).otherwise(F.col("o_totalprice"))
+    dearer = F.when(F.col("o_totalprice") < 2000, F.col("o_totalprice") + 0.01).otherwise(F.col("o_totalprice"))
     found = parity_by_ranges(a, a.withColumn("o_totalprice", dearer), ["o_orderkey", "o_custkey"])
     return found.select("o_orderkey", "o_custkey", "rows_a", "rows_b", F.round("o_totalprice_a", 2).alias("price"))
 
