@@ -10,7 +10,8 @@ Only A to Z are lower-cased; words are runs of ASCII digits and letters and of o
 beyond ASCII. Defined cases: a null or empty text has no words, is hit by nothing and, as an item,
 has no window; rows are told apart by id and text, so rows that share both get the same result and
 null ids are an id like others; a null item id is the empty string; items with the same window
-share it; empty tables on either side give no hits; other columns pass through by name.
+share it; empty tables on either side give no hits; other columns pass through by name, one named
+like a result (``n_words``, ``n_hit``, ``items``) with ``_input`` after its name.
 """
 
 from __future__ import annotations
@@ -20,6 +21,7 @@ import string
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from cityobs.llm.columns import unpacked, whole
 from cityobs.scratch import materialise
 
 WIDTH = 10
@@ -27,6 +29,8 @@ WIDTH = 10
 SEPARATORS = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 #: Windows (some hundred bytes each) that are broadcast; more are joined by a shuffle.
 BROADCAST_WINDOWS = 100_000
+#: Prefix words (about 50 bytes each) that are broadcast to sift the documents' words.
+BROADCAST_WORDS = 1_000_000
 
 
 def words(text: Column) -> Column:
@@ -58,7 +62,10 @@ def prefixes(docs_words: DataFrame, windows: DataFrame, few: bool) -> DataFrame:
     """Each different window with its rarest word and that word's first place in it."""
     vocabulary = windows.select(F.explode("window").alias("word")).distinct()
     held = docs_words.select(F.explode(F.array_distinct("w")).alias("word"))
-    counts = held.join(F.broadcast(vocabulary) if few else vocabulary, "word").groupBy("word").count()
+    if few:
+        counts = held.join(F.broadcast(vocabulary), "word").groupBy("word").count()
+    else:  # counted first, so that a frequent word is one row of each task
+        counts = held.groupBy("word").count().join(vocabulary, "word")
     places = windows.select("window", F.posexplode("window").alias("place", "word"))
     rarity = F.struct(F.coalesce("count", F.lit(0)), "word", "place")
     return (
@@ -81,17 +88,18 @@ def occurrences(docs: DataFrame, windows: DataFrame, few: bool, width: int = WID
             .where(F.slice("w", start + 1, size) == F.col("window"))
             .select("key", start.alias("start"), "window")
         )
-    # Beyond the bound every word travels with its neighbourhood instead of the whole document.
-    at = docs.select("key", "w", F.posexplode("w").alias("pos", "word"))
-    first = F.greatest(F.col("pos") - (width - 1), F.lit(0))
-    near = at.select("key", "pos", "word", first.alias("first"), F.slice("w", first + 1, F.lit(2 * width - 1)).alias("near"))
+    # Beyond the bound only words that begin some window are shuffled, and each document once.
+    heads = materialise(windows.select("word").distinct(), "prefix-words")
+    heads = F.broadcast(heads) if heads.count() <= BROADCAST_WORDS else heads
+    at = docs.select("key", F.posexplode("w").alias("pos", "word")).join(heads, "word", "left_semi")
     start = F.col("pos") - F.col("place")
-    offset = start - F.col("first")
+    asked = at.join(windows, "word").where(start >= 0).select("key", start.alias("start"), "window").distinct()
+    once = docs.dropDuplicates(["key"])
     return (
-        near.join(windows, "word")
-        .where((offset >= 0) & (offset + F.size("window") <= F.size("near")))
-        .where(F.slice("near", offset + 1, F.size("window")) == F.col("window"))
-        .select("key", start.alias("start"), "window")
+        asked.join(once, "key")
+        .where(F.col("start") + F.size("window") <= F.size("w"))
+        .where(F.slice("w", F.col("start") + 1, F.size("window")) == F.col("window"))
+        .select("key", "start", "window")
     )
 
 
@@ -126,10 +134,10 @@ def contamination(
         .agg(F.sort_array(F.collect_set("item")).alias("items"))
     )
     marks = hits.join(ids, "key")
-    counted = docs.select("*", _key(id_col, text).alias("__key"), F.size(words(F.col(text))).cast("long").alias("n_words"))
-    joined = counted.join(marks, counted["__key"] == marks["key"], "left")
+    counted = whole(docs, _key(id_col, text).alias("row_key"), F.size(words(F.col(text))).cast("long").alias("n_words"))
+    joined = counted.join(marks, F.col("row_key") == F.col("key"), "left")
     return joined.select(
-        *(counted[f"`{c}`"] for c in docs.columns),
+        *unpacked(docs, ["n_words", "n_hit", "items"]),
         "n_words",
         F.coalesce("n_hit", F.lit(0)).cast("long").alias("n_hit"),
         F.coalesce("items", F.array().cast("array<string>")).alias("items"),

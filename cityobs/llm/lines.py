@@ -8,7 +8,8 @@ is lost altogether, and of copied documents one keeps its text.
 Lines are compared without the spaces around them, by two 64-bit hashes; blank lines are kept and
 count as no line. Defined cases: a null text is an empty one; a null site is one site of its own
 (the empty name); rows with a null id keep all their lines; rows that share an id are treated as
-one document; an empty table gives an empty table; other columns pass through, whatever their names.
+one document; an empty table gives an empty table; other columns pass through, one named ``n_lines``
+or ``n_removed`` as ``n_lines_input`` or ``n_removed_input``.
 """
 
 from __future__ import annotations
@@ -16,6 +17,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from cityobs.llm.columns import unpacked, whole
 from cityobs.scratch import materialise
 
 #: Distinct sites that make a line boilerplate.
@@ -74,39 +76,33 @@ def remove_boilerplate(
     min_sites: int = MIN_SITES,
 ) -> DataFrame:
     """``df`` with cleaned texts plus ``n_lines`` and ``n_removed``."""
+    digest = F.xxhash64(F.col(text))
     each = df.select(
         F.col(id_col).alias("id"),
+        digest.alias("digest"),
         F.coalesce(F.col(site).cast("string"), F.lit("")).alias("site"),
-        F.explode(split_lines(F.col(text))).alias("line"),
+        F.posexplode(split_lines(F.col(text))).alias("pos", "line"),
     )
-    lines = each.where(F.trim("line") != "").select("id", "site", line_key(F.col("line")).alias("key"))
-    found = boilerplate(lines, min_sites)
+    lines = each.where(F.trim("line") != "").select("id", "digest", "site", "pos", line_key(F.col("line")).alias("key"))
+    found = boilerplate(lines.select("id", "site", "key"), min_sites)
     drops = (
-        lines.select("id", "key")
+        lines.select("id", "digest", "pos", "key")
         .join(_few(found), "key")
         .where(F.col("id") != F.col("first_id"))
-        .groupBy("id")
-        .agg(F.collect_set("key").alias("__drops"))
-        .withColumnRenamed("id", "__id")
+        .groupBy("id", "digest")
+        .agg(F.collect_set("pos").alias("drops"))
     )
-    joined = df.join(drops, df[id_col] == drops["__id"], "left").drop("__id")
-    parts = split_lines(F.col(text))
-    kept = F.filter(parts, lambda x: (F.trim(x) == "") | ~F.array_contains(F.col("__drops"), line_key(x)))
+    own = whole(df, F.col(id_col).alias("row_id"), digest.alias("row_digest"))
+    met = own.join(drops, (F.col("row_id") == F.col("id")) & (F.col("row_digest") == F.col("digest")), "left")
+    joined = met.select("row", "drops", split_lines(F.col("row").getField(text)).alias("parts"))
+    # The places left over are found with one hash set for each text, however many lines it has.
+    kept = F.array_except(F.sequence(F.lit(0), F.size("parts") - 1), F.col("drops"))
     count = lambda lines: F.size(F.filter(lines, lambda x: F.trim(x) != "")).cast("long")
-    return joined.withColumns(
-        {
-            "__kept": F.when(F.col("__drops").isNotNull(), kept),
-            "n_lines": count(parts),
-        }
-    ).select(
-        *(
-            F.when(F.col("__kept").isNotNull(), F.array_join("__kept", "\n"))
-            .otherwise(F.coalesce(F.col(text), F.lit("")))
-            .alias(text)
-            if c == text
-            else F.col(f"`{c}`")
-            for c in df.columns
-        ),
-        "n_lines",
-        F.when(F.col("__kept").isNotNull(), F.col("n_lines") - count(F.col("__kept"))).otherwise(0).cast("long").alias("n_removed"),
+    left = F.array_join(F.transform(kept, lambda p: F.get(F.col("parts"), p)), "\n")
+    cleaned = F.when(F.col("drops").isNull(), F.array_join("parts", "\n")).otherwise(left)
+    added = ["n_lines", "n_removed"]
+    return joined.select(
+        *unpacked(df, added, {text: cleaned}),
+        count(F.col("parts")).alias("n_lines"),
+        F.coalesce(F.size("drops"), F.lit(0)).cast("long").alias("n_removed"),
     )

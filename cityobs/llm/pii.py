@@ -12,7 +12,7 @@ matches in a text costs linear time. Expressions are written without backtrackin
 Defined cases: a null or empty text has no spans; rows are told apart by id and text, so repeated
 rows get the same spans and null ids are an id like others; a candidate that overlaps a base span is
 none; of kinds with equal scores the first in order is taken; an empty table gives an empty table;
-other columns pass through by name.
+other columns pass through by name, one named ``spans`` as ``spans_input``.
 """
 
 from __future__ import annotations
@@ -20,6 +20,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from cityobs.llm.columns import unpacked, whole
 from cityobs.scratch import materialise
 
 #: Kinds in the order in which spans with one start are listed.
@@ -198,11 +199,11 @@ def find(df: DataFrame, id_col: str = "doc_id", text: str = "text", rounds: int
     order = F.array_position(F.array(*map(F.lit, KINDS)), F.col("kind")).cast("int")
     span = F.struct("start", order.alias("rank"), "end", "kind", "base")
     every = found.where("base").unionByName(more.select(*found.columns))
-    spans = every.groupBy("id", "h").agg(F.sort_array(F.collect_set(span)).alias("__spans"))
-    own = df.withColumns({"__id": key[0], "__h": key[1]})
-    joined = own.join(spans, own["__id"].eqNullSafe(spans["id"]) & (own["__h"] == spans["h"]), "left")
+    spans = every.groupBy("id", "h").agg(F.sort_array(F.collect_set(span)).alias("sorted"))
+    own = whole(df, key[0].alias("row_id"), key[1].alias("row_h"))
+    joined = own.join(spans, F.col("row_id").eqNullSafe(F.col("id")) & (F.col("row_h") == F.col("h")), "left")
     out = F.transform(
-        F.coalesce("__spans", F.array().cast(spans.schema["__spans"].dataType)),
+        F.coalesce("sorted", F.array().cast(spans.schema["sorted"].dataType)),
         lambda s: F.struct(s["kind"].alias("kind"), s["start"].alias("start"), s["end"].alias("end"), s["base"].alias("base")),
     )
-    return joined.select(*(own[f"`{c}`"] for c in df.columns), out.alias("spans"))
+    return joined.select(*unpacked(df, ["spans"]), out.alias("spans"))
