@@ -88,10 +88,11 @@ def observations(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def supplier_readings(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """``ts, City``, one row per line item; the supplier is the city."""
+    """``ts, City, temperature``, one row per line item; the supplier is the city."""
     supplier = table(spark, sf_dir, "supplier").select("s_suppkey", "s_name")
     met = table(spark, sf_dir, "lineitem").join(supplier, F.col("l_suppkey") == F.col("s_suppkey"))
-    return met.select(reading_time().alias("ts"), F.col("s_name").alias("City"))
+    temperature = F.round(F.col("l_extendedprice") * 100).alias("temperature")
+    return met.select(reading_time().alias("ts"), F.col("s_name").alias("City"), temperature)
 
 
 def many_zones(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -127,12 +128,6 @@ def order_readings(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def without_base_year(obs: DataFrame) -> DataFrame:
-    """Cities of an even number have no readings before the year 2000."""
-    even = F.substring_index("City", "_", -1).cast("int") % 2 == 0
-    return obs.where(~(even & (F.col("ts") < F.lit("2000-01-02 00:00:00").cast("timestamp_ntz"))))
-
-
 #: Names of the three city columns of a raw table.
 RAW_CITIES = ("Port_A", "St._B", "New_C")
 
