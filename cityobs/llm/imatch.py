@@ -3,17 +3,19 @@
 The lexicon is the terms whose share of documents lies in a band: neither so common that they tell
 nothing nor so rare that they may be typing errors. Every term is put at random, by its hash, into
 some of the subsets of several levels; a level's subsets hold the same share of the lexicon, from
-half of it to one in 2,048. A text's fingerprint is, for each subset, a 16-bit hash of its distinct
-terms in that subset (a sum of mixed term hashes, so order and repetition make no difference).
-Two fingerprints are alike by the share of equal hashes on the sparsest level where a third of the
-subsets hold something: there a subset holds a term or two of a text, so that the share falls
+nine tenths of it to one in 2,048. A text's distinct terms of the lexicon are sorted, and for each
+subset the sequence of those in it is hashed to 64 bits. Two texts that differ in a term still have
+the hashes of all subsets without it. Fingerprints are alike by the largest share of equal hashes
+on a level where a third of the subsets hold something: near copies agree on subsets of most of the
+lexicon, and on sparse levels, where a subset holds a term or two of a text, the share falls
 gradually with the terms that differ, for short texts and long ones.
 
 Lower-cased are A to Z; terms are runs of anything but ASCII white space. Defined cases: a null
 text is an empty one; a text without a term of the lexicon has only zeros and a digest of its whole
 text, which is alike to equal texts (1) and to nothing else (0); of rows with one id the order is
 that of their texts; null ids come first; with one row the next document is itself; an empty table
-gives an empty table; only the id and the text are read.
+gives an empty table; only the id and the text are read. Ids that are no whole numbers have no next
+document here and are a TypeError.
 """
 
 from __future__ import annotations
@@ -33,8 +35,8 @@ from pyspark.sql import types as T
 
 #: Band of document shares. Texts of 235 different terms in the mean have 235 / LEAST at most in it.
 LEAST, MOST = 0.001, 0.1
-#: One in so many terms of the lexicon is in a subset, by level, and subsets of a level.
-RATES, SUBSETS = (2, 8, 32, 128, 512, 2048), 24
+#: Terms of 2,048 that are in a subset of each level, and subsets of a level.
+SHARES, SUBSETS = (1843, 1024, 256, 64, 16, 4, 1), 20
 #: Slots of the filter that decides which terms are counted exactly.
 SLOTS = 1 << 20
 #: Buckets of neighbouring ids for each shuffle partition, so that partitions come out even.
@@ -118,42 +120,48 @@ class Fingerprints:
         return {"lexicon": self.lexicon}
 
     def prepare(self) -> Fingerprints:
-        hashes = np.array([xxhash.xxh3_64_intdigest(t) for t in self.lexicon], np.uint64)
-        seeds = np.array([xxhash.xxh3_64_intdigest(b"%d" % k) for k in range(len(RATES) * SUBSETS)], np.uint64)
-        self.values = np.zeros((len(hashes), len(seeds)), np.uint32)
-        for k, seed in enumerate(seeds):
-            x = hashes ^ seed
+        self.hashes = np.array([xxhash.xxh3_64_intdigest(t) for t in self.lexicon], np.uint64)
+        #: Whether a subset (column) holds a term (row).
+        self.member = np.zeros((len(self.hashes), len(SHARES) * SUBSETS), bool)
+        for k in range(self.member.shape[1]):
+            x = self.hashes ^ np.uint64(xxhash.xxh3_64_intdigest(b"%d" % k))
             x = (x ^ (x >> np.uint64(31))) * np.uint64(0x9E3779B97F4A7C15)
             x = (x ^ (x >> np.uint64(29))) * np.uint64(0xBF58476D1CE4E5B9)
-            x ^= x >> np.uint64(32)
-            member = (x >> np.uint64(40)) % np.uint64(RATES[k // SUBSETS]) == 0
-            self.values[:, k] = np.where(member, (x & np.uint64(0xFFFFFFFF)) | np.uint64(1), 0)
+            self.member[:, k] = (x >> np.uint64(32)) % np.uint64(2048) < SHARES[k // SUBSETS]
         self.index = {t: i for i, t in enumerate(self.lexicon)}
         return self
 
     def codes(self, found: set[bytes]) -> np.ndarray:
-        """16 bits for each subset; 0 if it holds no term of the text."""
-        at = [i for i in map(self.index.get, found) if i is not None]
-        sums = self.values[at].sum(axis=0, dtype=np.uint32)
-        sums = sums * np.uint32(2654435761)
-        return np.where(sums, np.maximum(sums >> np.uint32(16), 1), 0).astype(">u2")
+        """The hash of each subset's sequence of sorted terms; 0 if it holds no term of the text."""
+        # The lexicon is sorted, so places in it are in the order of the terms.
+        at = np.array(sorted([i for t in found if (i := self.index.get(t)) is not None]), np.int64)
+        held = np.ascontiguousarray(self.member[at].T)
+        sequences = memoryview(np.broadcast_to(self.hashes[at], held.shape)[held].astype("<u8", copy=False).tobytes())
+        out, start, digest = [0] * len(held), 0, xxhash.xxh3_64_intdigest
+        for k, end in enumerate((8 * held.sum(axis=1).cumsum()).tolist()):
+            if end > start:
+                out[k] = digest(sequences[start:end]) or 1
+                start = end
+        return np.array(out, np.uint64)
 
     def of(self, text: str) -> tuple[np.ndarray, str]:
         codes = self.codes(terms(text))
+        name = codes.astype(">u8").tobytes().hex()
         if codes.any():
-            return codes, codes.tobytes().hex()
-        return codes, codes.tobytes().hex() + hashlib.sha256(text.encode("utf-8", "surrogatepass")).hexdigest()[:16]
+            return codes, name
+        return codes, name + hashlib.sha256(text.encode("utf-8", "surrogatepass")).hexdigest()[:16]
 
 
 def likeness(a: tuple[np.ndarray, str], b: tuple[np.ndarray, str]) -> float:
-    """Share of equal hashes on the sparsest level of which either text fills a third, else the densest."""
+    """Largest share of equal hashes on a level of which either text fills a third, or on the fullest."""
     if a[1] == b[1]:
         return 1.0
     either, equal = (a[0] != 0) | (b[0] != 0), (a[0] == b[0]) & (a[0] != 0)
     levels, same = either.reshape(-1, SUBSETS).sum(1), equal.reshape(-1, SUBSETS).sum(1)
-    full = np.flatnonzero(3 * levels >= SUBSETS)
-    at = full[-1] if len(full) else int(levels.argmax())
-    return float(same[at] / levels[at]) if levels[at] else 0.0
+    full = 3 * levels >= SUBSETS
+    if not full.any():
+        full = levels == levels.max()
+    return float((same[full] / np.maximum(levels[full], 1)).max())
 
 
 def fingerprint(df: DataFrame, words: list[bytes], text: str = "text", into: str = "fingerprint") -> DataFrame:
@@ -224,6 +232,8 @@ def compare_edits(docs: DataFrame, words: list[bytes], id_col: str = "doc_id", t
     The edited text has, instead of its last quarter of code points, as many of the first ones of
     the next document by id; the last document is followed by the first.
     """
+    if not isinstance(docs.schema[id_col].dataType, (T.ByteType, T.ShortType, T.IntegerType, T.LongType)):
+        raise TypeError(f"the ids of {id_col!r} are no whole numbers")
     rows = with_next(docs, id_col, text)
     kind = rows.schema["id"].dataType
     names = [id_col, "n_chars", "edited_sha256", "fingerprint", "edited_fingerprint", "near_edited", "near_next"]

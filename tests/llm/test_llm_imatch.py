@@ -3,6 +3,7 @@ import random
 
 import numpy as np
 import pytest
+import xxhash
 
 from llm_cases import make_prose, odd, table  # noqa: F401
 
@@ -49,6 +50,63 @@ def test_order_and_repetition_make_no_difference():
     assert imatch.likeness(prints.of("x y"), prints.of("x y")) == 1 and imatch.likeness(prints.of("x y"), prints.of("y x")) == 0
 
 
+def plain(lexicon, text):
+    """Each subset's hash, term by term."""
+    kept, out = [t for t in sorted(imatch.terms(text)) if t in lexicon], []
+    for k in range(len(imatch.SHARES) * imatch.SUBSETS):
+        sequence = b""
+        for t in kept:
+            h = xxhash.xxh3_64_intdigest(t)
+            x = h ^ xxhash.xxh3_64_intdigest(b"%d" % k)
+            x = (x ^ (x >> 31)) * 0x9E3779B97F4A7C15 % 2**64
+            x = (x ^ (x >> 29)) * 0xBF58476D1CE4E5B9 % 2**64
+            if (x >> 32) % 2048 < imatch.SHARES[k // imatch.SUBSETS]:
+                sequence += h.to_bytes(8, "little")
+        out.append(max(xxhash.xxh3_64_intdigest(sequence), 1) if sequence else 0)
+    return out
+
+
+def plain_likeness(a, b, same_text):
+    if a == b and (any(a) or same_text):
+        return 1.0
+    shares, n = [], imatch.SUBSETS
+    for s in range(0, len(a), n):
+        pairs = [(x, y) for x, y in zip(a[s : s + n], b[s : s + n], strict=True) if x or y]
+        shares.append((len(pairs), sum(x == y for x, y in pairs) / max(len(pairs), 1)))
+    most = max(k for k, _ in shares)
+    return max(v for k, v in shares if (3 * k >= n if 3 * most >= n else k == most))
+
+
+def test_fingerprints_and_likeness_equal_brute_force(spark, table, odd, make_prose):
+    rows = [(i, t) for i, t in odd if i not in (6, None)] + [(20 + i, make_prose(5 + 20 * i, i % 9)) for i in range(20)]
+    lexicon = sorted(imatch.lexicon(table(rows), least=0.05, most=0.5))
+    got = {r["doc_id"]: r for r in imatch.compare_edits(table(rows).repartition(3), lexicon).collect()}
+    order, known = sorted(rows), set(lexicon)
+    codes = {i: plain(known, t or "") for i, t in order}
+    for k, (i, t) in enumerate(order):
+        j, n = order[(k + 1) % len(order)]
+        t, n = t or "", n or ""
+        edited = t[: len(t) - len(t) // 4] + n[: len(t) // 4]
+        other = plain(known, edited)
+        assert got[i]["fingerprint"][: 16 * len(codes[i])] == "".join(f"{c:016x}" for c in codes[i])
+        assert got[i]["edited_fingerprint"][: 16 * len(other)] == "".join(f"{c:016x}" for c in other)
+        assert got[i]["near_edited"] == pytest.approx(plain_likeness(codes[i], other, t == edited))
+        assert got[i]["near_next"] == pytest.approx(plain_likeness(codes[i], codes[j], t == n))
+
+
+def test_ids_must_be_whole_numbers(spark):
+    with pytest.raises(TypeError, match="whole numbers"):
+        imatch.compare_edits(spark.createDataFrame([("b2", "x")], "doc_id string, text string"), [])
+
+
+def test_dense_subsets_agree_between_near_copies():
+    words = [b"w%d" % i for i in range(2000)]
+    prints, text = imatch.Fingerprints(words).prepare(), [f"w{i}" for i in range(0, 600, 2)]
+    own, near = prints.of(" ".join(text)), prints.of(" ".join([*text[1:], "w1"]))
+    dense = [(x == y) for x, y in zip(own[0][: 2 * imatch.SUBSETS], near[0][: 2 * imatch.SUBSETS], strict=True)]
+    assert any(dense) and imatch.likeness(own, near) > 0.9
+
+
 def test_likeness_falls_with_the_terms_that_differ():
     words = [b"w%d" % i for i in range(4000)]
     prints, pick = imatch.Fingerprints(words).prepare(), random.Random(3)
