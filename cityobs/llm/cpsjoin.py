@@ -165,21 +165,22 @@ def sketches(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
 
 
 def _deeper(rows: DataFrame, vectors: DataFrame, percent: int) -> DataFrame:
-    """The next level's rows of documents in large nodes."""
+    """The next level's rows of documents in large nodes; a document meets its coordinates once for all its nodes."""
     schema = rows.schema
+    each = rows.groupBy("id", "n", "b0", "b1").agg(F.collect_list("node").alias("nodes"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            nodes = batch.column(0).to_numpy(zero_copy_only=False).view(np.uint64)
-            values = np.array(batch.column(5).to_pylist(), np.int32).view(np.uint32).reshape(len(nodes), -1)
-            if not len(nodes):
-                continue
-            which, out = children(nodes, values, percent)
-            at = pa.array(which)
-            kept = [batch.column(k).take(at) for k in range(1, 5)]
+        for batch in (whole.slice(start, 1000) for whole in batches for start in range(0, whole.num_rows, 1000)):
+            lists = batch.column(4)
+            owner = np.repeat(np.arange(batch.num_rows), lists.value_lengths().to_numpy(zero_copy_only=False))
+            nodes = lists.flatten().to_numpy(zero_copy_only=False).view(np.uint64)
+            values = np.array(batch.column(5).to_pylist(), np.int32).view(np.uint32).reshape(batch.num_rows, -1)
+            which, out = children(nodes, values[owner], percent)
+            at = pa.array(owner[which])
+            kept = [batch.column(k).take(at) for k in range(4)]
             yield pa.RecordBatch.from_arrays([pa.array(out.view(np.int64)), *kept], names=schema.fieldNames())
 
-    return rows.join(vectors, "id").select("node", "id", "n", "b0", "b1", "values").mapInArrow(run, schema)
+    return each.join(vectors, "id").select("id", "n", "b0", "b1", "nodes", "values").mapInArrow(run, schema)
 
 
 def _close(a: str, b: str, percent: int) -> Column:
@@ -363,7 +364,7 @@ def link(docs: DataFrame, percent: int = PERCENT) -> tuple[DataFrame, DataFrame]
             if vectors is None:
                 few = large.select("id").distinct()
                 vectors = materialise(single.select("id", "values").join(few, "id", "left_semi"), "vectors")
-            rows = _deeper(large, vectors, percent)
+            rows = materialise(_deeper(large, vectors, percent), f"children-{level}")
     texts = docs.select("id", "text")
     star = materialise(_union(stars).distinct(), "star-pairs")
     labels = components(materialise(confirm(star, texts, percent), "star-links"))
