@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
+from math import ceil
 
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -13,7 +14,7 @@ from cityobs.operators.checksums import parity_by_ranges
 from cityobs.operators.clean import clean_city, clean_description, clean_measure
 from cityobs.operators.dimension import city_dimension, localize
 from cityobs.operators.geo import nearest_place
-from cityobs.operators.latency import ingest_latency, latency_by_file, pair_events
+from cityobs.operators.latency import ELAPSED_SCHEMA, ingest_latency, latency_by_file, pair_events
 from cityobs.operators.parity import TOLERANCE, parity
 from cityobs.operators.ranking import rank_of_picks, rank_spread, rank_within, top_within
 from cityobs.operators.reshape import to_long, to_wide
@@ -24,7 +25,7 @@ from cityobs.plans.stats import measure_stats, monthly_stats
 from cityobs.plans.sunny import clear_days, sunny_periods
 from cityobs.plans.swing import season_readings, seasonal_swing, yearly_swing
 from cityobs.registry import adapters as data
-from cityobs.scratch import materialise, scratch_path
+from cityobs.scratch import scratch_path
 from cityobs.sources.elapsed import read_elapsed, write_elapsed, write_elapsed_lists, write_latency
 from cityobs.sources.layout import Layout
 from cityobs.sources.results import load_result, save_result
@@ -459,32 +460,43 @@ def latency_report_list(spark: SparkSession, sf: str) -> DataFrame:
 
 #: Steps in which events arrive.
 ARRIVALS = 4
+#: Events of a step for each part of the state, at most.
+STATE_ROWS = 100_000
 
 
-def _paired_on_arrival(spark: SparkSession, sf: str) -> str:
-    """All events dealt into steps by their time; every step is paired by a stream that starts again."""
-    events = materialise(data.file_events(spark, sf), "events")
+def _paired_on_arrival(spark: SparkSession, sf: str) -> Iterator[tuple[str, int]]:
+    """All events dealt into steps by their time; every step is paired by a stream that starts again and sees the
+    files of that step and those before. Gives, after each step, the folder of the records and in how many parts
+    the state is kept."""
+    events = data.file_events(spark, sf)
     shares = [k / ARRIVALS for k in range(1, ARRIVALS)]
-    bounds = events.agg(F.percentile_approx("event_time_ms", F.array(*map(F.lit, shares)))).first()[0]
+    found = F.percentile_approx("event_time_ms", F.array(*map(F.lit, shares)))
+    bounds, n = events.agg(found, F.count("*")).first()
+    cores = spark.sparkContext.defaultParallelism
+    parts = cores * max(1, ceil(n / ARRIVALS / STATE_ROWS / cores))
     step = sum((F.when(F.col("event_time_ms") > b, 1).otherwise(0) for b in bounds), F.lit(0))
     folder, records = scratch_path(spark, "events-arriving"), scratch_path(spark, "records")
     progress = scratch_path(spark, "progress")
+    events.withColumn("step", step).write.partitionBy("step").parquet(folder)
     for k in range(ARRIVALS):
-        events.where(step == k).write.parquet(f"{folder}/step-{k}")
-        pair_arrivals(arriving_events(spark, f"{folder}/*"), records, progress).awaitTermination()
-    return records
+        arriving = arriving_events(spark, f"{folder}/step={{{','.join(map(str, range(k + 1)))}}}")
+        pair_arrivals(arriving, records, progress, state_partitions=parts).awaitTermination()
+        yield records, parts
 
 
 def elapsed_records_stream(spark: SparkSession, sf: str) -> DataFrame:
     """As ``elapsed_records``, from two streams that are joined as the events arrive."""
-    return spark.read.parquet(_paired_on_arrival(spark, sf))
+    *_, (records, _) = _paired_on_arrival(spark, sf)
+    return spark.read.parquet(records)
 
 
 def latency_running(spark: SparkSession, sf: str) -> DataFrame:
-    """As ``latency_report``, from moments that every batch of arriving records merges into."""
-    records, report = _paired_on_arrival(spark, sf), scratch_path(spark, "running")
-    arriving = spark.readStream.schema(spark.read.parquet(records).schema).option("maxFilesPerTrigger", 3).parquet(records)
-    running_latency(arriving, report, scratch_path(spark, "progress")).awaitTermination()
+    """As ``latency_report``, from moments that the records of every step merge into, all files of a step in one
+    batch: a batch costs a task and a commit for each state partition, however few records it has."""
+    report, progress = scratch_path(spark, "running"), scratch_path(spark, "progress")
+    for records, parts in _paired_on_arrival(spark, sf):
+        arriving = spark.readStream.schema(ELAPSED_SCHEMA).parquet(records)
+        running_latency(arriving, report, progress, state_partitions=parts).awaitTermination()
     return _rounded(read_running_latency(spark, report), 4, "avg", "stddev")
 
 

@@ -11,6 +11,10 @@ The report is kept as state as well: count, mean and squared distances of each f
 merge with those of new records. Every batch writes the names that it changed, below a folder of
 its own number, so that a batch repeated after a failure replaces what it wrote.
 
+Every batch costs a task and a commit to the checkpoint for each part of the state, however few rows
+it has, and Spark does not coalesce such parts. Their number is fixed by a checkpoint's first run:
+``state_partitions``, or the session's shuffle partitions, which are made for larger tables.
+
 Defined cases: an event later than the watermark allows is left out of the pairs, and
 ``dropped_as_late`` tells how many; a delivery before its arrival or more than ``longest`` after it
 makes no pair; a null uuid pairs with nothing; repeated events make a pair each, as in a batch.
@@ -18,6 +22,9 @@ makes no pair; a null uuid pairs with nothing; repeated events make a pair each,
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from contextlib import contextmanager
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -31,6 +38,22 @@ EVENT_SCHEMA = (
 )
 
 
+# Fixed value: the setting that gives the parts of a new checkpoint's state.
+PARTITIONS = "spark.sql.shuffle.partitions"
+
+
+@contextmanager
+def _state_in(spark: SparkSession, partitions: int | None) -> Iterator[None]:
+    """Queries started within keep their state in so many parts; the session's setting comes back after."""
+    before = spark.conf.get(PARTITIONS)
+    if partitions:
+        spark.conf.set(PARTITIONS, partitions)
+    try:
+        yield
+    finally:
+        spark.conf.set(PARTITIONS, before)
+
+
 def arriving_events(spark: SparkSession, path: str, files_per_batch: int | None = None) -> DataFrame:
     """Events of the Parquet files below ``path``, those to come included."""
     reader = spark.readStream.schema(EVENT_SCHEMA)
@@ -55,12 +78,14 @@ def pair_arrivals(
     lateness: str = "1 hour",
     longest: str = "1 day",
     once: bool = True,
+    state_partitions: int | None = None,
 ) -> StreamingQuery:
     """Pairs of arriving events as Parquet records below ``out_path``; ``once`` stops after the files there are now."""
     records = pair_arriving(events, lateness, longest)
     writer = records.writeStream.format("parquet").outputMode("append").option("path", out_path)
     writer = writer.option("checkpointLocation", checkpoint_path)
-    return (writer.trigger(availableNow=True) if once else writer).start()
+    with _state_in(events.sparkSession, state_partitions):
+        return (writer.trigger(availableNow=True) if once else writer).start()
 
 
 def dropped_as_late(query: StreamingQuery) -> int:
@@ -68,7 +93,13 @@ def dropped_as_late(query: StreamingQuery) -> int:
     return sum(op.get("numRowsDroppedByWatermark", 0) for p in query.recentProgress for op in p["stateOperators"])
 
 
-def running_latency(records: DataFrame, out_path: str, checkpoint_path: str, once: bool = True) -> StreamingQuery:
+def running_latency(
+    records: DataFrame,
+    out_path: str,
+    checkpoint_path: str,
+    once: bool = True,
+    state_partitions: int | None = None,
+) -> StreamingQuery:
     """Keep ``latency_by_file`` of arriving records up to date below ``out_path``."""
 
     def put(batch: DataFrame, number: int) -> None:
@@ -76,7 +107,8 @@ def running_latency(records: DataFrame, out_path: str, checkpoint_path: str, onc
 
     writer = latency_by_file(records).writeStream.outputMode("update").foreachBatch(put)
     writer = writer.option("checkpointLocation", checkpoint_path)
-    return (writer.trigger(availableNow=True) if once else writer).start()
+    with _state_in(records.sparkSession, state_partitions):
+        return (writer.trigger(availableNow=True) if once else writer).start()
 
 
 def read_running_latency(spark: SparkSession, out_path: str) -> DataFrame:

@@ -3,6 +3,8 @@ from conftest import rows
 from pyspark.sql import functions as F
 
 from cityobs.operators.latency import latency_by_file, pair_events
+from cityobs.registry import adapters as data
+from cityobs.registry import queries
 from cityobs.streaming import (
     arriving_events,
     dropped_as_late,
@@ -109,3 +111,38 @@ def test_a_repeated_batch_replaces_what_it_wrote(spark, tmp_path):
     for number, values in ((0, (1.0, 0.0, 1)), (1, (2.0, 1.0, 2)), (1, (2.5, 1.5, 2))):
         spark.createDataFrame([("f", *values)], schema).write.mode("overwrite").parquet(f"{out}/batch={number}")
     assert rows(read_running_latency(spark, out)) == [("f", 2.5, 1.5, 2)]
+
+
+def test_state_has_the_parts_asked_for_and_the_session_keeps_its_own(spark, flow, tmp_path):
+    flow.add(received("a", HOUR), sent("a", HOUR + 500))
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    for parts in (2, 3):  # the checkpoint's first run decides
+        events = arriving_events(spark, f"{flow.folder}/*")
+        pairs = pair_arrivals(events, flow.out, flow.progress, "1 hour", "6 hours", state_partitions=parts)
+        pairs.awaitTermination()
+        arriving = spark.readStream.schema("filename string, timestamp string, elapsed double").parquet(flow.out)
+        report = running_latency(arriving, str(tmp_path / "report"), str(tmp_path / "progress"), state_partitions=parts)
+        report.awaitTermination()
+        state = [op["numShufflePartitions"] for q in (pairs, report) for p in q.recentProgress for op in p["stateOperators"]]
+        assert state and set(state) == {2}
+        assert spark.conf.get("spark.sql.shuffle.partitions") == before
+        flow.add(received("b", 2 * HOUR), sent("b", 2 * HOUR + 500))
+    assert rows(read_running_latency(spark, str(tmp_path / "report"))) == [("f", 0.5, 0.0, 2)]
+
+
+def test_batches_of_the_running_report_do_not_grow_with_shuffle_partitions(spark, small, monkeypatch):
+    started = []
+    monkeypatch.setattr(queries, "running_latency", lambda *a, **b: started.append(running_latency(*a, **b)) or started[-1])
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", 24)
+    try:
+        got = rows(queries.latency_running(spark, small))
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+    batches = [p for query in started for p in query.recentProgress]
+    assert len(batches) == queries.ARRIVALS
+    parts = {op["numShufflePartitions"] for p in batches for op in p["stateOperators"]}
+    assert parts == {spark.sparkContext.defaultParallelism}
+    wanted = latency_by_file(pair_events(data.file_events(spark, small)))
+    shown = [F.round(c, 4).alias(c) for c in ("avg", "stddev")]
+    assert got == rows(wanted.select("filename", *shown, "count"))
